@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sylvaframe.llm.cpsjoin import near_stage
 from sylvaframe.llm.digest_index import exact_stage
 from sylvaframe.llm.mixing import mixing_stage
 from sylvaframe.llm.packing import packing_stage
@@ -22,6 +23,7 @@ from sylvaframe.runtime import materialize
 STAGES = [
     ("quality rules", quality_stage),
     ("exact dedup", exact_stage),
+    ("MinHash near-dedup", near_stage),
     ("mixing sources to target weights", mixing_stage),
     ("packing", packing_stage),
 ]

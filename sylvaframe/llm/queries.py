@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import classifier, digest_index, mixing, packing, rules
+from . import classifier, cpsjoin, digest_index, mixing, packing, rules
 
 QUERIES = {
     "op1_sum_of_squares_packing": packing.packing_query,
+    "op4_chosen_path_near_dedup": cpsjoin.near_query,
     "op5_quality_decision_list": rules.quality_query,
     "op8_systematic_mixing": mixing.mixing_query,
     "op9_digest_index_dedup": digest_index.exact_query,
