@@ -96,7 +96,8 @@ def pack_lengths(narrow: DataFrame, n_docs: int, window: int = WINDOW, docs_per_
                 {"shard": key[0], "window": where[cut], "start": start[cut], "doc_id": ids.to_numpy()[at[cut]], "piece": piece[cut], "n_tokens": length[cut]}
             ).astype({"doc_id": "Int64"})
 
-    return dealt.groupBy("shard").applyInPandas(run, PACK_SCHEMA)
+    # a given number of partitions: by bytes alone the planner would join many shards into one task
+    return dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(run, PACK_SCHEMA)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import capture_index, classifier, cpsjoin, digest_index, mixing, packing, pii, rules, token_orc
+from . import capture_index, classifier, cpsjoin, digest_index, lm, mixing, packing, pii, rules, token_orc
 
 QUERIES = {
     "op1_sum_of_squares_packing": packing.packing_query,
+    "op2_recurrent_lm_scoring": lm.lm_query,
     "op3_token_orc": token_orc.token_query,
     "op4_chosen_path_near_dedup": cpsjoin.near_query,
     "op5_quality_decision_list": rules.quality_query,
