@@ -1 +1 @@
-"""Placeholder."""
+"""Scalar, array and tree functions over Columns."""

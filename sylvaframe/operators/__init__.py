@@ -1 +1 @@
-"""Placeholder."""
+"""DataFrame operators: preparation, parsing, ranking, sharding, embeddings."""

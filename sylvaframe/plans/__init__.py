@@ -1 +1 @@
-"""Placeholder."""
+"""Whole plans: the dataset build and the registered queries."""

@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _LOCAL_SCRATCH: str | None = None
 
@@ -123,6 +124,11 @@ class Shield:
         return df.select(*self.aliases).toDF(*self.names)
 
 
+def schema_with(df: DataFrame, name: str, kind: str) -> StructType:
+    """The frame's schema and one more column; the frame's own isn't touched."""
+    return StructType([*df.schema.fields, StructType.fromDDL(f"`{name}` {kind}").fields[0]])
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Exactly the named columns, whatever else the frame holds."""
     shield = Shield(df, *names)

@@ -1 +1 @@
-"""Placeholder."""
+"""Readers and writers."""

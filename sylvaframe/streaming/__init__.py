@@ -1 +1 @@
-"""Placeholder."""
+"""Incremental runs over arriving files."""
