@@ -55,24 +55,21 @@ class _Buckets(dict):
     """Word ending to the id of its bucket of unknown words."""
 
     def __missing__(self, ending: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
         value = self[ending] = VOCAB - 1 - UNKNOWN + xxhash.xxh32_intdigest(ending) % UNKNOWN
         return value
 
 
 class WordIds(dict):
-    """Word to id; words beyond the vocabulary get a bucket, remembered up to a limit."""
+    """Word to id; words beyond the vocabulary get a bucket, by their ending, and aren't remembered."""
 
     def __init__(self, words: list[str]):
         super().__init__((w, i) for i, w in enumerate(words))
-        self.words, self.buckets = words, _Buckets()
+        self.buckets = _Buckets()
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
-            self.__init__(self.words)
-            if word in self:
-                return self[word]
-        value = self[word] = self.buckets[word[-3:]]
-        return value
+        return self.buckets[word[-3:]]
 
     def encode(self, text: str | None) -> np.ndarray:
         words = text.split() if text else []
