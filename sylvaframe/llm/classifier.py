@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import pick
 from .gbt import BoostedTrees
 from .stats import STATISTICS, labelled_sample, statistics
 
@@ -36,9 +37,14 @@ def score_column(model: BoostedTrees) -> Column:
     return score(*[F.col(s) for s in STATISTICS])
 
 
+def score_documents(docs: DataFrame, model: BoostedTrees) -> DataFrame:
+    """(doc_id, score) of every document; other columns are left out."""
+    narrow = pick(docs, "doc_id", "text")
+    return statistics(narrow, F.col("text"), F.col("doc_id")).select("doc_id", score_column(model).alias("score"))
+
+
 def classifier_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, score) of every document whose score reaches KEEP_FROM."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = statistics(docs, F.col("text"), F.col("doc_id")).select("doc_id", score_column(model).alias("score"))
-    return scored.where(F.col("score") >= KEEP_FROM)
+    return score_documents(docs, model).where(F.col("score") >= KEEP_FROM)

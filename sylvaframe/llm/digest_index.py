@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import Shield, materialize, scratch_path, small_side
+from ..runtime import Shield, materialize, pick, scratch_path, small_side
 
 #: Buckets of a new index; sized once for what it is to hold (some 10 M digests each).
 BUCKETS = 32
@@ -117,7 +117,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, digest, n_copies) of each admitted document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    keyed = docs.select(digest_of(F.col("text")).alias("digest"), "doc_id").where(F.col("digest").isNotNull())
+    keyed = pick(docs, "doc_id", "text").select(digest_of(F.col("text")).alias("digest"), "doc_id").where(F.col("digest").isNotNull())
     admitted = admit(DigestIndex(spark, scratch_path(spark, "digest-index")), keyed)
     return admitted.select("doc_id", F.lower(F.hex("digest")).alias("digest"), "n_copies")
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import Shield, small_side
+from ..runtime import Shield, pick, small_side
 
 UNIT = 1_000_000
 SEED = 17
@@ -104,7 +104,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_chars) once for each copy of the document in the mix."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix(docs.select("doc_id", "source", F.length("text").alias("n_chars")), size="n_chars")
+    return mix(pick(docs, "doc_id", "source", "text").select("doc_id", "source", F.length("text").alias("n_chars")), size="n_chars")
 
 
 _WEIGHT_SQL = "CASE source " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in WEIGHTS.items()) + " ELSE 1::DOUBLE END"
