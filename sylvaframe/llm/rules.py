@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import Shield
+from ..runtime import Shield, pick
 from .stats import STATISTICS, labelled_sample, statistics
 
 #: At most so many labelled documents are used to learn the list.
@@ -140,6 +140,17 @@ def rule_expression(rules: list[Rule]) -> Column:
     return F.lit(0) if out is None else out.otherwise(F.lit(0))
 
 
+def accepted(judged: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows of a frame with STATISTICS that no rule rejects.
+
+    Adding a partition id's top bit, which is 0, makes the rule's number
+    nondeterministic to the optimizer. It would else move the filter below the
+    projections and build the word arrays anew for each condition.
+    """
+    number = rule_expression(rules) + F.shiftright(F.spark_partition_id(), 31)
+    return judged.withColumn("rule_number", number).where("rule_number = 0").drop("rule_number")
+
+
 def learn_from_tables(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> list[Rule]:
     frame = labelled_sample(docs, labels, "quality", max_labelled)
     return learn_list(frame[list(STATISTICS)].to_numpy(), frame["y"].to_numpy() == 0)
@@ -149,7 +160,7 @@ def apply_rules(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """The documents that no rule rejects, all columns unchanged."""
     shield = Shield(docs, "text")
     judged = statistics(shield.df, shield["text"], *[F.col(a) for a in shield.aliases])
-    return shield.restore(judged.where(rule_expression(rules) == 0))
+    return shield.restore(accepted(judged, rules))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -161,5 +172,5 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, statistics) of every document that the learned list keeps."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rules = learn_from_tables(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    judged = statistics(docs, F.col("text"), F.col("doc_id"))
-    return judged.where(rule_expression(rules) == 0)
+    judged = statistics(pick(docs, "doc_id", "text"), F.col("text"), F.col("doc_id"))
+    return accepted(judged, rules)
