@@ -15,6 +15,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space as Python sees it; Java's Unicode class lacks the four separators.
 SPACE = r"(?U)[\s\x1c-\x1f]"
@@ -121,7 +122,7 @@ def medium(text: Column, normalize_unicode: bool = True) -> Column:
     return expand_abbreviations(to_ascii(text) if normalize_unicode else text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _without_marks(texts: pd.Series) -> pd.Series:
     def bare(t):
         return None if t is None else "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn")

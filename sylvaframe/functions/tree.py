@@ -76,7 +76,7 @@ def paths(nodes: Column) -> Column:
 
 def root_idx(nodes: Column) -> Column:
     """The last node whose head is 0; null if there is none."""
-    return F.element_at(F.filter(nodes, lambda n: n["head"] == 0), -1)["idx"]
+    return F.try_element_at(F.filter(nodes, lambda n: n["head"] == 0), F.lit(-1))["idx"]
 
 
 def is_tree(nodes: Column) -> Column:

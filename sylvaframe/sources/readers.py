@@ -15,6 +15,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.text import SPACE, repair_answer, repair_question, strip
 from ..runtime import small_side
@@ -106,7 +107,7 @@ def read_question_folder(spark: SparkSession, path: str, max_lines: int | None =
     return rows.withColumn("pair_id", F.concat(F.element_at(F.split("src_file", "/"), -1), F.lit("/"), F.col("pair_id")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def literal_to_json(lines: pd.Series) -> pd.Series:
     """A Python literal as JSON; null for what isn't one."""
 
