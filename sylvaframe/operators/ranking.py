@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import small_side
-
 ROWS_PER_BUCKET = 100_000
 HASH_RANGE = 2**32
 _MULTIPLIER = 2_654_435_761

@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.text import preprocess, regex_tokens, word_punct_tokens
-from ..functions.tree import to_graph
+from ..functions.tree import build_tree, contents_ok, size_ok, to_graph
 from ..operators.parse import BACKENDS, merge_trees, parse_batches, parse_sentence
 from ..operators.prepare import clean_sentences, keep_group, keep_valid, map_labels, stable_id, without_processed
-from ..functions.tree import build_tree, contents_ok, size_ok
 from ..schemas import GRAPH, NODES
 from ..sources.readers import read_pairs
 
@@ -53,7 +52,8 @@ def _trees(rows: DataFrame, tokens: str, out: str, config: Config) -> DataFrame:
 
         parsed = F.transform(zipped, merged)
     kept = F.filter(parsed, lambda t: t["nodes"].isNotNull())
-    return rows.withColumn(out, F.coalesce(kept, F.array().cast(f"array<struct<text:string,nodes:{NODES}>>")))
+    done = rows.withColumn(out, F.coalesce(kept, F.array().cast(f"array<struct<text:string,nodes:{NODES}>>")))
+    return done.drop(*[f"_{name}" for name in p.parsers])
 
 
 def parse_pairs(pairs: DataFrame, config: Config = Config()) -> DataFrame:

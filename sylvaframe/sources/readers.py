@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.text import SPACE, repair_answer, repair_question, strip
-from ..runtime import small_side
 from ..schemas import QA, SNLI
 
 READERS: dict[str, Callable[..., DataFrame]] = {}
@@ -56,9 +55,8 @@ def number_lines(rows: DataFrame, name: str = "ordinal", across_files: bool = Fa
         F.col("src_file").alias("_file"), F.col("split_start").alias("_split"), "_first", F.coalesce(F.sum("_n").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")
     )
     match = (F.col("src_file") == F.col("_file")) & (F.col("split_start") == F.col("_split"))
-    # one line a split; the count is that of the scan's tasks at most
-    sized = small_side(placed, rows.rdd.getNumPartitions() * 4, 256)
-    return marked.join(sized, match).select(*rows.columns, (F.col("_before") + F.col("_mark") - F.col("_first")).alias(name))
+    # one line a split; adaptive execution broadcasts it once its measured size allows
+    return marked.join(placed, match).select(*rows.columns, (F.col("_before") + F.col("_mark") - F.col("_first")).alias(name))
 
 
 def first_lines(rows: DataFrame, max_lines: int | None, skipped: int = 0) -> DataFrame:
