@@ -28,7 +28,8 @@ def plain_basic(t, keep=False, bare=False):
 
 def plain_medium(t):
     t = "".join(c for c in unicodedata.normalize("NFKD", t) if ord(c) < 128)
-    long = {"fig.": "figure", "i.e.": "that is", "i e ": "that is", "e.g.": "for example", "e g ": "for example", "etc.": "etc"}
+    spelt = [("figure", "fig."), ("that is", "i.e.|i e "), ("for example", "e.g.|e g "), ("etc", "etc.")]
+    long = {short: words for words, shorts in spelt for short in shorts.split("|")}
     t = re.sub(r"(?i)\b(?:" + "|".join(re.escape(k) for k in long) + r")\b", lambda m: long[m[0].lower()], t)
     return re.sub(r"(?<=[a-zA-Z,])(?=[A-Z0-9])", " ", t)
 
