@@ -115,7 +115,7 @@ def expand_abbreviations(text: Column) -> Column:
     for k, (_, words) in enumerate(_LONG_FORMS):
         before, after = _NEXT * k, _NEXT * (len(_LONG_FORMS) - 1 - k)
         out = F.regexp_replace(out, f"{_OPEN}{before}[^{_OPEN}{_NEXT}{_SHUT}]+{after}{_SHUT}", words)
-    return F.regexp_replace(out, "(?<=[a-zA-Z,])(?=[A-Z0-9])", " ")
+    return F.regexp_replace(out, "(?<=[,A-Za-z])(?=[0-9A-Z])", " ")
 
 
 def medium(text: Column, normalize_unicode: bool = True) -> Column:

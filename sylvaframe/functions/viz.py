@@ -29,7 +29,7 @@ def draw(nodes: list, show_features: bool = False) -> str:
         morph = n["morph"]
         pairs = sorted(dict(morph).items()) if morph is not None else []
         if show_features and pairs:
-            line += " [" + ", ".join(f"{k}: {v}" for k, v in pairs) + "]"
+            line += f" [{', '.join(map(': '.join, pairs))}]"
         lines.append(indent + ("└── " if last else "├── ") + line)
         kids = below.get(n["idx"], [])
         deeper = indent + ("    " if last else "│   ")

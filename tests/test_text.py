@@ -31,7 +31,7 @@ def plain_medium(t):
     spelt = [("figure", "fig."), ("that is", "i.e.|i e "), ("for example", "e.g.|e g "), ("etc", "etc.")]
     long = {short: words for words, shorts in spelt for short in shorts.split("|")}
     t = re.sub(r"(?i)\b(?:" + "|".join(re.escape(k) for k in long) + r")\b", lambda m: long[m[0].lower()], t)
-    return re.sub(r"(?<=[a-zA-Z,])(?=[A-Z0-9])", " ", t)
+    return re.sub(r"(?<=[,A-Za-z])(?=[0-9A-Z])", " ", t)
 
 
 def plain_sentences(t):
