@@ -10,6 +10,10 @@ from pathlib import Path
 from .operators.parse import FEATURE_SOURCES, check_sources
 
 
+#: Runs of word characters; words and single marks; the latter with unknown words split.
+TOKENIZERS = ("regex", "words", "vocab")
+
+
 @dataclass(frozen=True)
 class Preprocessing:
     strictness: int = 2
@@ -64,8 +68,8 @@ class Config:
     def __post_init__(self) -> None:
         p, s = self.parser, self.sharding
         check_sources(p.sources, list(p.parsers))
-        if self.preprocessing.tokenizer not in ("regex", "words"):
-            raise ValueError(f"tokenizer {self.preprocessing.tokenizer!r} is neither 'regex' nor 'words'")
+        if self.preprocessing.tokenizer not in TOKENIZERS:
+            raise ValueError(f"tokenizer {self.preprocessing.tokenizer!r} is none of {TOKENIZERS}")
         if abs(s.train + s.dev + s.test - 1) > 0.001:
             raise ValueError("the split's shares don't add up to 1")
         if s.shard_size < 1:

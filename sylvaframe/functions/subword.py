@@ -12,9 +12,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import map_rows
+from ..sources.readers import number_lines, raw_lines
 from .text import is_number
 
 #: Words of two letters that count as words, and those of one.
@@ -88,26 +90,29 @@ def segment_words(words: DataFrame, vocabularies: list[set[str]], greedy_only: b
     return words.select("token").where(F.col("token").isNotNull()).distinct().mapInPandas(run, "token string, parts array<string>")
 
 
-def vocab_tokens(tokens: Column, vocabularies: list[set[str]], spark) -> Column:
-    """An array of tokens with unknown long ones split; those that can't be split go."""
-    shared = spark.sparkContext.broadcast(vocabularies)
-    state: list[Segmenter] = []
+def with_known_tokens(df: DataFrame, column: str, vocabularies: list[set[str]]) -> DataFrame:
+    """``column`` (an array of token arrays) with unknown long tokens split; those that can't be split go."""
+    shared = df.sparkSession.sparkContext.broadcast(vocabularies)
 
-    @F.pandas_udf("array<string>")
-    def split(rows: pd.Series) -> pd.Series:
-        if not state:
-            state.append(Segmenter(shared.value))
-        seg = state[0]
+    def make():
+        segmenter = Segmenter(shared.value)
 
-        def one(words):
-            if words is None:
-                return None
+        def one(tokens: list[str]) -> list[str]:
             out = []
-            for t in words:
-                plain = t in seg.weight or len(t) < 5 or t.replace(".", "", 1).isdigit()
-                out.extend([t] if plain else seg.segment(t))
+            for t in tokens:
+                plain = t in segmenter.weight or len(t) < 5 or t.replace(".", "", 1).isdigit()
+                out.extend([t] if plain else segmenter.segment(t))
             return out
 
-        return rows.map(one)
+        return lambda lists: None if lists is None else [one(tokens) for tokens in lists]
+
+    return map_rows(df, "_known", "array<array<string>>", make, column).withColumn(column, F.col("_known")).drop("_known")
+
 
-    return split(tokens)
+def read_vocabularies(spark: SparkSession, paths: list[str], limit: int = VOCAB_LIMIT) -> list[set[str]]:
+    """One set for each word list (a word a line): its first ``limit`` lines, short words filtered."""
+    found = []
+    for path in paths:
+        rows = number_lines(raw_lines(spark, path)).where(F.col("ordinal") < limit)
+        found.append({r[0] for r in rows.select(F.trim("value").alias("word")).where(keep_word(F.col("word"))).collect()})
+    return found

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import schema_with
+from ..runtime import map_rows
 from .tree import bind, pre_order
 
 
@@ -39,13 +36,7 @@ def draw(nodes: list, show_features: bool = False) -> str:
 
 def with_tree_text(df: DataFrame, nodes: str, out: str, show_features: bool = False) -> DataFrame:
     """``df`` with a drawing of the tree in column ``nodes``."""
-    schema = schema_with(df, out, "string")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield rows.assign(**{out: [draw(t, show_features) for t in rows[nodes]]})
-
-    return df.mapInPandas(run, schema)
+    return map_rows(df, out, "string", lambda: lambda t: draw(t, show_features), nodes)
 
 
 def tree_dot(nodes: Column, show_features: bool = False) -> Column:
@@ -83,10 +74,4 @@ def side_by_side(left: str, right: str, label: str | None = None, gap: int = 4)
 
 def with_pair_text(df: DataFrame, left: str, right: str, label: str, out: str) -> DataFrame:
     """``df`` with the trees of two columns drawn next to each other."""
-    schema = schema_with(df, out, "string")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield rows.assign(**{out: [side_by_side(draw(a), draw(b), c) for a, b, c in zip(rows[left], rows[right], rows[label])]})
-
-    return df.mapInPandas(run, schema)
+    return map_rows(df, out, "string", lambda: lambda a, b, c: side_by_side(draw(a), draw(b), c), left, right, label)

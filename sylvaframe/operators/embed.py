@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
+
 CACHE_BUCKETS = 32
 DIM = 768
 
@@ -70,6 +72,14 @@ class EmbeddingCache:
         out.option("path", self.path).bucketBy(self.buckets, "word").sortBy("word").saveAsTable(self.name)
         self.spark.catalog.refreshTable(self.name)
 
+    def update(self, rows: DataFrame) -> None:
+        """Rows whose word is there replace it, the others are added. The table is written anew."""
+        new = materialize(rows.select("word", "embedding").dropDuplicates(["word"]), "changed")
+        kept = materialize(self.read().join(new.select("word"), "word", "left_anti"), "kept")
+        out = kept.unionByName(new).repartition(self.buckets, "word").write.format("parquet").mode("overwrite")
+        out.option("path", self.path).bucketBy(self.buckets, "word").sortBy("word").saveAsTable(self.name)
+        self.spark.catalog.refreshTable(self.name)
+
     def fill(self, words: DataFrame, encoder: Callable[[list[str]], list[np.ndarray]]) -> None:
         """Encodes each missing word once and appends it."""
         self.add(encode(misses(words, self.read()), encoder))

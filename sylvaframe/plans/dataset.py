@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..functions.subword import with_known_tokens
 from ..functions.text import preprocess, regex_tokens, word_punct_tokens
 from ..functions.tree import build_tree, contents_ok, size_ok, to_graph
 from ..operators.parse import BACKENDS, merge_trees, parse_batches, parse_sentence
@@ -56,11 +57,22 @@ def _trees(rows: DataFrame, tokens: str, out: str, config: Config) -> DataFrame:
     return done.drop(*[f"_{name}" for name in p.parsers])
 
 
-def parse_pairs(pairs: DataFrame, config: Config = Config()) -> DataFrame:
+def _with_tokens(rows: DataFrame, text: str, out: str, config: Config, vocabularies: list[set[str]] | None) -> DataFrame:
+    """Adds ``out``: the token arrays of the sentences that go to the parsers."""
+    p = config.parser
+    found = F.transform(clean_sentences(F.col(text), **config.preprocessing.options()), lambda s: tokenize(s, config))
+    rows = rows.withColumn(out, found)
+    if config.preprocessing.tokenizer == "vocab":
+        rows = with_known_tokens(rows, out, vocabularies or [])
+    kept = keep_valid(F.col(out), p.min_tokens, p.max_tokens, p.max_trees)
+    return rows.withColumn(out, F.transform(kept, lambda s: s["tokens"]))
+
+
+def parse_pairs(pairs: DataFrame, config: Config = Config(), vocabularies: list[set[str]] | None = None) -> DataFrame:
     """(group_id, text, text_clean, text_b, text_b_clean, label, trees, trees_b): trees as node arrays.
 
     Without a pair_id the group gets an id made of its contents. A null text
-    has no sentences.
+    has no sentences. ``vocabularies`` are those of the tokenizer ``vocab``.
     """
     own = stable_id(F.col("pair_id"), F.col("text"), F.col("text_b"))
     opts = config.preprocessing.options()
@@ -72,9 +84,9 @@ def parse_pairs(pairs: DataFrame, config: Config = Config()) -> DataFrame:
         preprocess(F.col("text_b"), **opts).alias("text_b_clean"),
         F.coalesce(F.col("label").cast("string"), F.lit("1")).alias("label"),
     )
-    rows = rows.withColumn("_a", F.transform(valid_sentences(F.col("text"), config), lambda s: s["tokens"]))
-    b = F.transform(valid_sentences(F.col("text_b"), config), lambda s: s["tokens"])
-    rows = rows.withColumn("_b", b if config.output.paired else F.array().cast("array<array<string>>"))
+    rows = _with_tokens(rows, "text", "_a", config, vocabularies)
+    none = F.array().cast("array<array<string>>")
+    rows = _with_tokens(rows, "text_b", "_b", config, vocabularies) if config.output.paired else rows.withColumn("_b", none)
     rows = _trees(_trees(rows, "_a", "trees", config), "_b", "trees_b", config)
     return rows.select("group_id", "text", "text_clean", "text_b", "text_b_clean", "label", "trees", "trees_b")
 
@@ -88,11 +100,13 @@ def to_groups(parsed: DataFrame, config: Config = Config()) -> DataFrame:
     return map_labels(rows, "label", o.label_map, o.normalize) if o.label_map else rows
 
 
-def build_dataset(pairs: DataFrame, config: Config = Config(), processed: DataFrame | None = None) -> DataFrame:
+def build_dataset(
+    pairs: DataFrame, config: Config = Config(), processed: DataFrame | None = None, vocabularies: list[set[str]] | None = None
+) -> DataFrame:
     """Pairs to groups of graphs; pairs whose pair_id is in ``processed`` are left out."""
     if processed is not None:
         pairs = without_processed(pairs, processed, "pair_id")
-    return to_groups(parse_pairs(pairs, config), config)
+    return to_groups(parse_pairs(pairs, config, vocabularies), config)
 
 
 def dataset_from_files(spark: SparkSession, dataset_type: str, path: str, config: Config = Config(), **options) -> DataFrame:

@@ -7,9 +7,12 @@ executors share, and never to a machine-local one.
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -69,20 +72,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a scratch path through the cluster's file system."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes a written table takes, from the file system's own summary."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(target).getLength()
-
-
 def small_side(df: DataFrame, rows: int, row_bytes: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast when ``rows * row_bytes`` is within ``limit``.
 
@@ -129,6 +118,28 @@ def schema_with(df: DataFrame, name: str, kind: str) -> StructType:
     return StructType([*df.schema.fields, StructType.fromDDL(f"`{name}` {kind}").fields[0]])
 
 
+def map_rows(df: DataFrame, out: str, kind: str, make: Callable[[], Callable], *columns: str) -> DataFrame:
+    """``df`` with a column made in Python from others, in Arrow batches.
+
+    ``make`` runs once in each task and gives the function of a row's values, so
+    that a model or a table is loaded there and not once a row.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        function = make()
+        for rows in batches:
+            yield rows.assign(**{out: [function(*values) for values in zip(*[rows[c] for c in columns])]})
+
+    return df.mapInPandas(run, schema_with(df, out, kind))
+
+
+def get_logger(level: str = "normal") -> logging.Logger:
+    """The library's logger: ``quiet`` shows warnings, ``normal`` what is done, ``debug`` everything."""
+    logger = logging.getLogger("sylvaframe")
+    logger.setLevel({"quiet": logging.WARNING, "normal": logging.INFO, "debug": logging.DEBUG}[level])
+    return logger
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Exactly the named columns, whatever else the frame holds."""
     shield = Shield(df, *names)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sylvaframe.config import Config, deep_merge, load_config
-from sylvaframe.functions.subword import SHORT_WORDS, Segmenter, keep_word, segment_words, vocab_tokens
+from sylvaframe.functions.subword import SHORT_WORDS, Segmenter, keep_word, read_vocabularies, segment_words, with_known_tokens
 from sylvaframe.operators import contrast, embed, sharding
 from sylvaframe.operators.parse import BACKENDS, FEATURE_SOURCES, Backend, check_sources, chain_nodes, parse_sentence, register, rule_nodes
 from sylvaframe.operators.prepare import filter_groups, keep_group, keep_valid, map_labels, project_pairs, skip_rate, stable_id, text_lines, without_processed
@@ -55,12 +55,22 @@ def test_segmenting_tables(spark):
     vocab = [{"data", "base"}, {"base"}]
     df = spark.createDataFrame([("database",), ("database",), ("qqqqq",), (None,)], "token string")
     assert sorted(map(tuple, segment_words(df, vocab).collect())) == [("database", ["data", "base"]), ("qqqqq", [])]
-    rows = spark.createDataFrame([(["database", "1.5", "qqqqq", "zzz"],), (None,), ([],)], "t array<string>")
-    assert [r[0] for r in rows.select(vocab_tokens(F.col("t"), vocab, spark)).collect()] == [["data", "base", "1.5", "zzz"], None, []]
+    rows = spark.createDataFrame([([["database", "1.5", "qqqqq", "zzz"], []],), (None,), ([],)], "t array<array<string>>")
+    assert [r[0] for r in with_known_tokens(rows, "t", vocab).collect()] == [[["data", "base", "1.5", "zzz"], []], None, []]
     words = spark.createDataFrame([("am",), ("zz",), ("dog",), ("a",), ("b",)], "w string")
     assert sorted(r[0] for r in words.where(keep_word(F.col("w"))).collect()) == ["a", "am", "dog"]
 
 
+def test_vocabulary_tokenizer(spark, tmp_path):
+    (tmp_path / "words.txt").write_text("big\ndog\nzz\nbarked\nlate\n")
+    vocab = read_vocabularies(spark, [str(tmp_path / "words.txt")], 4)
+    assert vocab == [{"big", "dog", "barked"}]
+    pairs = spark.createDataFrame([("1", "the bigdog barked.", "", "x"), ("2", None, None, None)], "pair_id string, text string, text_b string, label string")
+    config = load_config({"preprocessing": {"tokenizer": "vocab"}})
+    out = {r["group_id"]: r["trees"] for r in parse_pairs(pairs, config, vocab).collect()}
+    assert [n["word"] for n in out["1"][0]["nodes"]] == ["the", "big", "dog", "barked", "."] and out["2"] == []
+
+
 # -- ranking, shards, splits --------------------------------------------------------------
 
 
@@ -227,6 +237,9 @@ def test_cache_fills_once_and_prepends(spark):
     cache.fill(words, calls)
     assert cache.read().count() == 3 and embed.misses(words, cache.read()).count() == 0
     assert embed.lookup(words, cache.read()).where("embedding IS NULL").count() == 1
+    changed = spark.createDataFrame([("file", [1.0] * 8), ("added", [2.0] * 8)], "word string, embedding array<float>")
+    cache.update(changed)
+    assert {r["word"]: r["embedding"][0] for r in cache.read().where("word IN ('file', 'added')").collect()} == {"file": 1.0, "added": 2.0} and cache.read().count() == 4
     pairs = spark.createDataFrame([("1", "test file test unknownword", "", "x")], "pair_id string, text string, text_b string, label string")
     tree = embed.prepend_embeddings(build_dataset(pairs), cache.read()).first()["trees"][0]
     vectors = {r["word"]: r["embedding"] for r in cache.read().collect()}
