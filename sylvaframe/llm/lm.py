@@ -49,6 +49,8 @@ SEED = 29
 END = VOCAB - 1
 NAMES = ("ex", "wh", "wc", "bc", "ww", "bw")
 _PER = VOCAB // CLASSES
+#: Adds up a row of outputs, of which there are as many in a class as there are classes.
+_ONES = np.ones(CLASSES, np.float32)
 
 
 class _Buckets(dict):
@@ -159,75 +161,90 @@ class GRU:
 
     # -- recurrence ------------------------------------------------------------
 
+    def gate_weights(self) -> np.ndarray:
+        """``wh`` as (gate, from, to): update, reset, candidate."""
+        return np.ascontiguousarray(self.p["wh"].reshape(HIDDEN, 3, HIDDEN).transpose(1, 0, 2))
+
     def forward(self, inputs: np.ndarray, first: np.ndarray, h: np.ndarray, keep: bool):
-        """States after each step of a window; with ``keep`` also what backward needs."""
+        """States after each step of a window; with ``keep`` also what backward needs.
+
+        Gates are kept apart, so that every operation runs over contiguous memory.
+        """
         steps, lanes = inputs.shape
-        H, wh = HIDDEN, self.p["wh"]
-        gates = self.p["ex"][inputs]
+        H, weights = HIDDEN, self.gate_weights()
+        gates = np.ascontiguousarray(self.p["ex"].reshape(VOCAB, 3, H).transpose(1, 0, 2))[:, inputs]
         states = np.empty((steps, lanes, H), np.float32)
-        saved = [] if keep else None
+        # state before, update, reset, candidate, candidate's recurrent part
+        saved = np.empty((5, steps, lanes, H), np.float32) if keep else None
         fresh = first.any(1)
-        g = np.empty((lanes, 3 * H), np.float32)
+        g = np.empty((3, lanes, H), np.float32)
         for t in range(steps):
             if fresh[t]:
                 h = np.where(first[t][:, None], np.float32(0), h)
-            np.matmul(h, wh, out=g)
-            x = gates[t]
-            zr = g[:, : 2 * H] + x[:, : 2 * H]
-            zr *= np.float32(-1)
+            np.matmul(h, weights, out=g)
+            zr = gates[:2, t] + g[:2]
+            np.negative(zr, out=zr)
             np.exp(np.minimum(zr, 60, out=zr), out=zr)
             zr += np.float32(1)
             np.reciprocal(zr, out=zr)
-            z, r = zr[:, :H], zr[:, H:]
-            n = r * g[:, 2 * H :]
-            n += x[:, 2 * H :]
+            z, r = zr
+            n = r * g[2]
+            n += gates[2, t]
             np.tanh(n, out=n)
-            new = h - n
+            if keep:
+                saved[0, t], saved[1:3, t], saved[3, t], saved[4, t] = h, zr, n, g[2]
+            new = states[t]
+            np.subtract(h, n, out=new)
             new *= z
             new += n
-            if keep:
-                saved.append((h, zr, n, g[:, 2 * H :].copy()))
-            h = states[t] = new
-        return states, saved, h
+            h = new
+        return states, saved, h.copy()
 
     def backward(self, inputs, first, states_grad, saved) -> dict[str, np.ndarray]:
         """Gradients of ex and wh; the window's first state is taken as given."""
         steps, lanes = inputs.shape
-        H, wh = HIDDEN, self.p["wh"]
-        dx = np.empty((steps, lanes, 3 * H), np.float32)
-        dg = np.empty((steps, lanes, 3 * H), np.float32)
+        H = HIDDEN
+        back = np.ascontiguousarray(self.gate_weights().transpose(0, 2, 1))
+        before, z, r, n, gn = saved
+        # what a gate's gradient is multiplied with, for all steps at once
+        to_n = (1 - z) * (1 - n * n)
+        to_z = (before - n) * z * (1 - z)
+        to_r = gn * r * (1 - r)
+        d = np.empty((4, steps, lanes, H), np.float32)  # update, reset, candidate's recurrent part, candidate
         dh = np.zeros((lanes, H), np.float32)
-        before = np.empty((steps, lanes, H), np.float32)
+        through = np.empty((3, lanes, H), np.float32)
         fresh = first.any(1)
         for t in range(steps - 1, -1, -1):
-            h, zr, n, gn = saved[t]
-            z, r = zr[:, :H], zr[:, H:]
-            before[t] = h
             dh += states_grad[t]
-            dn = dh * (1 - z)
-            dn *= 1 - n * n
-            dz = (h - n) * dh
-            dz *= z * (1 - z)
-            dr = dn * gn
-            dr *= r * (1 - r)
-            a, b = dx[t], dg[t]
-            a[:, :H], a[:, H : 2 * H], a[:, 2 * H :] = dz, dr, dn
-            b[:, : 2 * H] = a[:, : 2 * H]
-            np.multiply(dn, r, out=b[:, 2 * H :])
-            dh = dh * z
-            dh += b @ wh.T
+            dn = np.multiply(dh, to_n[t], out=d[3, t])
+            np.multiply(dh, to_z[t], out=d[0, t])
+            np.multiply(dn, to_r[t], out=d[1, t])
+            np.multiply(dn, r[t], out=d[2, t])
+            np.matmul(d[:3, t], back, out=through)
+            dh *= z[t]
+            for part in through:
+                dh += part
             if fresh[t]:
                 dh[first[t]] = 0
         flat = inputs.ravel()
         order = np.argsort(flat, kind="stable")
         ranked = flat[order]
         starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-        ex = np.zeros_like(self.p["ex"])
-        ex[ranked[starts]] = np.add.reduceat(dx.reshape(-1, 3 * H)[order], starts)
-        return {"ex": ex, "wh": before.reshape(-1, H).T @ dg.reshape(-1, 3 * H)}
+        ex, wh = np.zeros_like(self.p["ex"]), np.empty_like(self.p["wh"])
+        states = before.reshape(-1, H).T
+        for k, (own, recurrent) in enumerate(((0, 0), (1, 1), (3, 2))):
+            at = slice(k * H, (k + 1) * H)
+            ex[ranked[starts], at] = np.add.reduceat(d[own].reshape(-1, H)[order], starts)
+            wh[:, at] = states @ d[recurrent].reshape(-1, H)
+        return {"ex": ex, "wh": wh}
 
     # -- output ----------------------------------------------------------------
 
+    def bounded(self) -> bool:
+        """Whether no output can reach 60 either way, so that exp needs no maximum taken off. States lie in (-1, 1)."""
+        p = self.p
+        return max(float((np.abs(p["wc"]).sum(0) + np.abs(p["bc"])).max()), float((np.abs(p["ww"]).sum(1) + np.abs(p["bw"])).max())) < 60
+
     def log_probs(self, states: np.ndarray, targets: np.ndarray, learn: bool):
         """log p of each target; with ``learn`` also gradients of the mean loss."""
         n = len(targets)
@@ -237,10 +254,12 @@ class GRU:
         rows = np.arange(n)
         logits = h @ self.p["wc"]
         logits += self.p["bc"]
-        logits -= logits.max(1, keepdims=True)
+        bounded = self.bounded()
+        if not bounded:
+            logits -= logits.max(1, keepdims=True)
         chosen = logits[rows, kind]
         np.exp(logits, out=logits)
-        total = logits.sum(1)
+        total = logits @ _ONES
         logp = chosen - np.log(total)
         cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
         inner = np.empty((n, _PER), np.float32)
@@ -252,10 +271,11 @@ class GRU:
                 np.matmul(h[a:b], ww[at].T, out=inner[a:b])
                 inner[a:b] += bw[at]
         within = target - kind * np.int16(_PER)
-        inner -= inner.max(1, keepdims=True)
+        if not bounded:
+            inner -= inner.max(1, keepdims=True)
         chosen = inner[rows, within]
         np.exp(inner, out=inner)
-        inner_total = inner.sum(1)
+        inner_total = inner @ _ONES
         logp += chosen
         logp -= np.log(inner_total)
         out = np.empty(n, np.float32)
