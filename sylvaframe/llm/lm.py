@@ -6,14 +6,19 @@ truncated backpropagation through windows of STEPS words, the state being
 carried from window to window; scoring carries it over the whole document, so a
 log-likelihood covers every word of it and its end.
 
+Every counted word has a probability of its own. The network's vocabulary is the
+most frequent words, about GROWTH² times the square root of the corpus's length of
+them and VOCAB at least; the others share buckets named by a hash of their ending,
+and of a bucket's probability a word has its share of the bucket's count:
+p(word) = p(bucket) n(word) / n(bucket).
+
 Over the corpus this takes three passes, each over all documents:
-1. words are counted (a combinable sum) and the most frequent make the vocabulary,
-   other words go to buckets named by a hash of their ending;
+1. words are counted, by part of the corpus and in all;
 2. each partition trains from the same start on all its documents, and the
-   parameters are averaged by words seen, block by block, in two levels, so that
-   no task reads more than FAN_IN sets of them;
-3. each document is scored.
-Only the averaged model, whose size is set by VOCAB and HIDDEN, comes to the driver.
+   parameters are averaged by words seen, piece by piece, in two levels, so that
+   no task reads more than FAN_IN pieces of them;
+3. each document is scored; a task reads the counts of its own part's rare words.
+Only the averaged model, which grows as the vocabulary, comes to the driver.
 
 Defined results: a null or empty text has its end as the only word; repeated rows
 get equal scores; an empty table trains nothing and gives no rows; columns other
@@ -23,43 +28,64 @@ than doc_id and text are left out. Ties in word counts go by the word.
 from __future__ import annotations
 
 import heapq
+import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import materialize, pick
+from ..runtime import materialize, pick, scratch_path
 
+#: Ids at least; the classes at least are its square root.
 VOCAB = 1024
 UNKNOWN = 127
 HIDDEN = 16
 CLASSES = 32
+#: Classes, and words in each, by the fourth root of the corpus's words.
+GROWTH = 0.5
 STEPS = 32
 LANES = 256
 RATE = 0.01
 #: Words that a task buffers before it works on them.
 BUFFER_WORDS = 6_000_000
 FAN_IN = 256
+#: Parameters that are averaged together.
+PIECE = 1 << 16
 SEED = 29
+#: The last id of the least vocabulary.
 END = VOCAB - 1
 NAMES = ("ex", "wh", "wc", "bc", "ww", "bw")
-_PER = VOCAB // CLASSES
-#: Adds up a row of outputs, of which there are as many in a class as there are classes.
-_ONES = np.ones(CLASSES, np.float32)
+
+
+def classes_for(n_words: int) -> int:
+    """Classes of a vocabulary of so many words, of which each class holds as many."""
+    return max(CLASSES, math.isqrt(n_words + UNKNOWN) + 1)
+
+
+def id_kind(end: int) -> type:
+    return np.int16 if end < 1 << 15 else np.int32
+
+
+def bucket_of(ending: str) -> int:
+    return xxhash.xxh32_intdigest(ending) % UNKNOWN
 
 
 class _Buckets(dict):
     """Word ending to the id of its bucket of unknown words."""
 
+    def __init__(self, first: int):
+        super().__init__()
+        self.first = first
+
     def __missing__(self, ending: str) -> int:
         if len(self) > 500_000:
             self.clear()
-        value = self[ending] = VOCAB - 1 - UNKNOWN + xxhash.xxh32_intdigest(ending) % UNKNOWN
+        value = self[ending] = self.first + bucket_of(ending)
         return value
 
 
@@ -68,31 +94,53 @@ class WordIds(dict):
 
     def __init__(self, words: list[str]):
         super().__init__((w, i) for i, w in enumerate(words))
-        self.buckets = _Buckets()
+        self.end = classes_for(len(words)) ** 2 - 1
+        self.kind = id_kind(self.end)
+        self.buckets = _Buckets(self.end - UNKNOWN)
 
     def __missing__(self, word: str) -> int:
         return self.buckets[word[-3:]]
 
     def encode(self, text: str | None) -> np.ndarray:
         words = text.split() if text else []
-        out = np.empty(len(words) + 1, np.int16)
-        out[:-1] = np.fromiter(map(self.__getitem__, words), np.int16, len(words))
-        out[-1] = END
+        out = np.empty(len(words) + 1, self.kind)
+        out[:-1] = np.fromiter(map(self.__getitem__, words), self.kind, len(words))
+        out[-1] = self.end
         return out
 
 
+class Shares(dict):
+    """Word to id, and log p(word | id), for the words of one part of the corpus."""
+
+    def __init__(self, ids: WordIds, rare: list[str], n: np.ndarray, counts: np.ndarray):
+        known = len(ids)
+        super().__init__(ids)
+        self.update(zip(rare, range(known, known + len(rare))))
+        self.end, self.kind = ids.end, ids.kind
+        self.ids = np.arange(known + len(rare)).astype(ids.kind)
+        self.ids[known:] = [ids[w] for w in rare]
+        self.share = np.zeros(known + len(rare))
+        self.share[known:] = np.log(n / counts[self.ids[known:]])
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, float]:
+        words = text.split() if text else []
+        at = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        return np.append(self.ids[at], self.kind(self.end)), float(self.share[at].sum())
+
+
 def start_parameters(counts: np.ndarray, seed: int = SEED) -> dict[str, np.ndarray]:
     """Random weights; output biases give the corpus's unigram probabilities."""
     rng = np.random.default_rng(seed)
     small = lambda *shape, by=0.1: (rng.standard_normal(shape) * by).astype(np.float32)
     p = (counts + 0.5) / (counts + 0.5).sum()
-    by_class = p.reshape(CLASSES, _PER)
+    classes = math.isqrt(len(counts))
+    by_class = p.reshape(classes, -1)
     return {
-        "ex": small(VOCAB, 3 * HIDDEN, by=0.3),
+        "ex": small(len(counts), 3 * HIDDEN, by=0.3),
         "wh": small(HIDDEN, 3 * HIDDEN, by=HIDDEN**-0.5),
-        "wc": small(HIDDEN, CLASSES),
+        "wc": small(HIDDEN, classes),
         "bc": np.log(by_class.sum(1)).astype(np.float32),
-        "ww": small(VOCAB, HIDDEN),
+        "ww": small(len(counts), HIDDEN),
         "bw": np.log(by_class / by_class.sum(1, keepdims=True)).ravel().astype(np.float32),
     }
 
@@ -139,7 +187,7 @@ def lay_out(docs: list[np.ndarray], lanes: int) -> Lanes:
     loads = np.array([sum(len(docs[i]) for i in r) for r in rows])
     ranked = np.argsort(-loads, kind="stable")
     length = int(loads.max())
-    tokens = np.zeros((lanes, length), np.int16)
+    tokens = np.zeros((lanes, length), docs[0].dtype)
     source = np.zeros((lanes, length), np.int32)
     first = np.zeros((lanes, length), bool)
     for at, k in enumerate(ranked):
@@ -158,6 +206,11 @@ class GRU:
         self.m = {k: np.zeros_like(v) for k, v in self.p.items()}
         self.v = {k: np.zeros_like(v) for k, v in self.p.items()}
         self.step = 0
+        self.vocab, self.classes = len(self.p["ex"]), len(self.p["bc"])
+        self.per = self.vocab // self.classes
+        self.end = self.vocab - 1
+        # add up a row of outputs
+        self.ones, self.inner_ones = np.ones(self.classes, np.float32), np.ones(self.per, np.float32)
 
     # -- recurrence ------------------------------------------------------------
 
@@ -172,7 +225,7 @@ class GRU:
         """
         steps, lanes = inputs.shape
         H, weights = HIDDEN, self.gate_weights()
-        gates = np.ascontiguousarray(self.p["ex"].reshape(VOCAB, 3, H).transpose(1, 0, 2))[:, inputs]
+        gates = np.ascontiguousarray(self.p["ex"].reshape(self.vocab, 3, H).transpose(1, 0, 2))[:, inputs]
         states = np.empty((steps, lanes, H), np.float32)
         # state before, update, reset, candidate, candidate's recurrent part
         saved = np.empty((5, steps, lanes, H), np.float32) if keep else None
@@ -248,7 +301,8 @@ class GRU:
     def log_probs(self, states: np.ndarray, targets: np.ndarray, learn: bool):
         """log p of each target; with ``learn`` also gradients of the mean loss."""
         n = len(targets)
-        kind = (targets // _PER).astype(np.uint8)
+        per, classes = self.per, self.classes
+        kind = (targets // per).astype(np.uint8 if classes <= 256 else np.uint16)
         order = np.argsort(kind, kind="stable")
         h, target, kind = states[order], targets[order], kind[order]
         rows = np.arange(n)
@@ -259,23 +313,23 @@ class GRU:
             logits -= logits.max(1, keepdims=True)
         chosen = logits[rows, kind]
         np.exp(logits, out=logits)
-        total = logits @ _ONES
+        total = logits @ self.ones
         logp = chosen - np.log(total)
-        cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
-        inner = np.empty((n, _PER), np.float32)
+        cuts = np.searchsorted(kind, np.arange(classes + 1))
+        inner = np.empty((n, per), np.float32)
         ww, bw = self.p["ww"], self.p["bw"]
-        for c in range(CLASSES):
+        for c in range(classes):
             a, b = cuts[c], cuts[c + 1]
             if a < b:
-                at = slice(c * _PER, (c + 1) * _PER)
+                at = slice(c * per, (c + 1) * per)
                 np.matmul(h[a:b], ww[at].T, out=inner[a:b])
                 inner[a:b] += bw[at]
-        within = target - kind * np.int16(_PER)
+        within = target - kind.astype(target.dtype) * target.dtype.type(per)
         if not bounded:
             inner -= inner.max(1, keepdims=True)
         chosen = inner[rows, within]
         np.exp(inner, out=inner)
-        inner_total = inner @ _ONES
+        inner_total = inner @ self.inner_ones
         logp += chosen
         logp -= np.log(inner_total)
         out = np.empty(n, np.float32)
@@ -289,10 +343,10 @@ class GRU:
         inner[rows, within] -= scale
         grads = {"wc": h.T @ logits, "bc": logits.sum(0), "ww": np.zeros_like(ww), "bw": np.zeros_like(bw)}
         dh = logits @ self.p["wc"].T
-        for c in range(CLASSES):
+        for c in range(classes):
             a, b = cuts[c], cuts[c + 1]
             if a < b:
-                at = slice(c * _PER, (c + 1) * _PER)
+                at = slice(c * per, (c + 1) * per)
                 dh[a:b] += inner[a:b] @ ww[at]
                 grads["ww"][at] = inner[a:b].T @ h[a:b]
                 grads["bw"][at] = inner[a:b].sum(0)
@@ -323,7 +377,7 @@ class GRU:
         laid = lay_out_stream(docs, lanes) if learn else lay_out(docs, lanes)
         length = len(laid.tokens)
         h = np.zeros((laid.tokens.shape[1], HIDDEN), np.float32)
-        last = np.full(laid.tokens.shape[1], END, np.int16)
+        last = np.full(laid.tokens.shape[1], self.end, laid.tokens.dtype)
         a = 0
         while a < length:
             live = int(laid.active[a])
@@ -350,7 +404,7 @@ class GRU:
         target, first = laid.tokens[a:b, lo:hi], laid.first[a:b, lo:hi]
         inputs = np.empty_like(target)
         inputs[0], inputs[1:] = last[lo:hi], target[:-1]
-        inputs[first] = END
+        inputs[first] = self.end
         states, saved, h[lo:hi] = self.forward(inputs, first, h[lo:hi], learn)
         last[lo:hi] = target[-1]
         logp, grads, back = self.log_probs(states.reshape(-1, HIDDEN), target.ravel(), learn)
@@ -360,12 +414,12 @@ class GRU:
             self.update(grads, RATE)
 
 
-def buffered(ids: WordIds, batches: Iterator[pd.DataFrame], column: str = "text") -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
-    """Batches joined until they hold BUFFER_WORDS words, with their word ids."""
+def buffered(encode: Callable[[pd.DataFrame], tuple[pd.DataFrame, list[np.ndarray]]], batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
+    """Batches joined until they hold BUFFER_WORDS words; ``encode`` gives a batch's other columns and its word ids."""
     rows, docs, n = [], [], 0
     for batch in batches:
-        new = [ids.encode(t) for t in batch[column]]
-        rows.append(batch.drop(columns=[column]))
+        rest, new = encode(batch)
+        rows.append(rest)
         docs.extend(new)
         n += sum(map(len, new))
         if n >= BUFFER_WORDS:
@@ -375,37 +429,114 @@ def buffered(ids: WordIds, batches: Iterator[pd.DataFrame], column: str = "text"
         yield pd.concat(rows, ignore_index=True), docs
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(word, n) over all documents; tasks send sums of up to half a million words."""
+def by_ids(ids: WordIds) -> Callable[[pd.DataFrame], tuple[pd.DataFrame, list[np.ndarray]]]:
+    return lambda batch: (batch.drop(columns=["text"]), [ids.encode(t) for t in batch["text"]])
+
+
+def in_parts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, part), written, so that a row's part stays what it was."""
+    return materialize(pick(docs, "doc_id", "text").withColumn("part", F.spark_partition_id()), "parts")
+
+
+def count_words(parts: DataFrame) -> DataFrame:
+    """(part, word, n, head): n counts all documents, head is true once for each word; a part may have a word twice.
+
+    Tasks send sums of up to half a million words.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
+        at = -1
+
+        def sums() -> pd.DataFrame:
+            return pd.DataFrame({"part": at, "word": list(counts), "n": list(counts.values())})
+
         for rows in batches:
-            for text in rows["text"]:
+            for part, text in zip(rows["part"], rows["text"]):
+                if counts and (part != at or len(counts) > 500_000):
+                    yield sums()
+                    counts = Counter()
+                at = part
                 if text:
                     counts.update(text.split())
-            if len(counts) > 500_000:
-                yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
-                counts = Counter()
         if counts:
-            yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
-
-    return pick(docs, "text").mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def vocabulary(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The most frequent words, and a count for each id."""
-    counted = materialize(count_words(docs), "words")
-    top = counted.orderBy(F.desc("n"), "word").limit(VOCAB - 1 - UNKNOWN).collect()
+            yield sums()
+
+    local = parts.select("part", "text").mapInPandas(run, "part int, word string, n long")
+    same = Window.partitionBy("word").orderBy("part")
+    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return local.select("part", "word", F.sum("n").over(whole).alias("n"), (F.row_number().over(same) == 1).alias("head"))
+
+
+def vocabulary(docs: DataFrame, counted: DataFrame | None = None) -> tuple[list[str], np.ndarray]:
+    """The most frequent words, and a count for each id. ``counted``: what ``count_words`` gave."""
+    if counted is None:
+        counted = materialize(count_words(in_parts(docs)), "words")
+    once = counted.where("head").select("word", "n")
+    total = once.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    classes = max(CLASSES, math.ceil(GROWTH * total**0.25))
+    top = once.orderBy(F.desc("n"), "word").limit(classes**2 - 1 - UNKNOWN).collect()
     words = [r["word"] for r in top]
-    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    counts = np.zeros(VOCAB)
+    ids = WordIds(words)
+    counts = np.zeros(ids.end + 1)
     counts[: len(words)] = [r["n"] for r in top]
-    counts[VOCAB - 1 - UNKNOWN : END] = max(0, total - counts.sum()) / UNKNOWN
-    counts[END] = docs.count()
+    counts[ids.end - UNKNOWN : ids.end] = bucket_counts(once)
+    np.subtract.at(counts, [ids.buckets[w[-3:]] for w in words], counts[: len(words)])
+    counts[ids.end] = docs.count()
     return words, counts
 
 
+def bucket_counts(once: DataFrame) -> np.ndarray:
+    """How often each bucket's words occur, those of the vocabulary included."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield pd.DataFrame({"bucket": [bucket_of(e) for e in rows["ending"]], "n": rows["n"]})
+
+    ending = F.when(F.length("word") > 3, F.substring("word", -3, 3)).otherwise(F.col("word")).alias("ending")
+    sums = once.groupBy(ending).agg(F.sum("n").alias("n")).mapInPandas(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    out = np.zeros(UNKNOWN)
+    for r in sums.collect():
+        out[r["bucket"]] = r["n"]
+    return out
+
+
+def rare_words(counted: DataFrame) -> str:
+    """Folder with the words and counts of each part, in a subfolder each."""
+    path = scratch_path(counted.sparkSession, "rare")
+    counted.select("part", "word", "n").repartition("part").write.partitionBy("part").parquet(path)
+    return path
+
+
+def read_part(path: str, part: int) -> tuple[list[str], np.ndarray]:
+    from pyarrow import dataset, fs
+
+    system, name = fs.FileSystem.from_uri(f"{path}/part={part}")
+    if system.get_file_info(name).type == fs.FileType.NotFound:  # it has no words
+        return [], np.zeros(0)
+    got = dataset.dataset(name, filesystem=system, format="parquet", partitioning=None).to_table(columns=["word", "n"])
+    return got["word"].to_pylist(), got["n"].to_numpy().astype(np.float64)
+
+
+def by_shares(ids: WordIds, path: str, counts: np.ndarray) -> Callable[[pd.DataFrame], tuple[pd.DataFrame, list[np.ndarray]]]:
+    """As by_ids, with a column ``share`` of a document's log p(word | bucket)."""
+    at, shares = None, None
+
+    def encode(batch: pd.DataFrame) -> tuple[pd.DataFrame, list[np.ndarray]]:
+        nonlocal at, shares
+        out = []
+        for part, text in zip(batch["part"], batch["text"]):
+            if part != at:
+                shares = None  # two needn't be held
+                words, n = read_part(path, part)
+                rare = {w: c for w, c in zip(words, n) if w not in ids}
+                at, shares = part, Shares(ids, list(rare), np.array(list(rare.values())), counts)
+            out.append(shares.encode(text))
+        return batch.drop(columns=["text"]).assign(share=[s for _, s in out]), [d for d, _ in out]
+
+    return encode
+
+
 def train(docs: DataFrame, words: list[str], counts: np.ndarray) -> dict[str, np.ndarray]:
     """Parameters averaged over partitions, each trained on all of its documents."""
     spark = docs.sparkSession
@@ -417,47 +548,59 @@ def train(docs: DataFrame, words: list[str], counts: np.ndarray) -> dict[str, np
 
         words, start = shared.value
         model, seen = GRU(start), 0
-        for _, docs in buffered(WordIds(words), batches):
+        for _, docs in buffered(by_ids(WordIds(words)), batches):
             n = sum(map(len, docs))
             model.run(docs, int(np.clip(n // 4096, 8, LANES)), learn=True)
             seen += n
         if seen:
             part = TaskContext.get().partitionId()
-            yield pd.DataFrame({"name": NAMES, "part": part, "seen": seen, "values": [model.p[k].ravel() for k in NAMES]})
+            pieces = [(k, at, model.p[k].ravel()[at : at + PIECE]) for k in NAMES for at in range(0, model.p[k].size, PIECE)]
+            names, starts, values = zip(*pieces)
+            yield pd.DataFrame({"name": names, "at": starts, "part": part, "seen": seen, "values": values})
 
     def mean(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("part")
         seen = rows["seen"].to_numpy(np.float64)
         out = sum(s * np.asarray(v, np.float64) for s, v in zip(seen, rows["values"])) / seen.sum()
-        return pd.DataFrame({"name": [key[0]], "part": [int(rows["part"].iloc[0])], "seen": [int(seen.sum())], "values": [out.astype(np.float32)]})
+        return pd.DataFrame({"name": [key[0]], "at": [key[1]], "part": [int(rows["part"].iloc[0])], "seen": [int(seen.sum())], "values": [out.astype(np.float32)]})
 
-    schema = "name string, part int, seen long, values array<float>"
+    schema = "name string, at long, part int, seen long, values array<float>"
     local = pick(docs, "text").mapInPandas(run, schema)
-    partial = local.groupBy("name", F.floor(F.col("part") / FAN_IN)).applyInPandas(mean, schema)
-    merged = {r["name"]: r["values"] for r in partial.groupBy("name").applyInPandas(mean, schema).collect()}
+    partial = local.groupBy("name", "at", F.floor(F.col("part") / FAN_IN)).applyInPandas(mean, schema)
+    merged = {(r["name"], r["at"]): r["values"] for r in partial.groupBy("name", "at").applyInPandas(mean, schema).collect()}
     if not merged:
         return start
-    return {k: np.array(merged[k], np.float32).reshape(start[k].shape) for k in NAMES}
+    return {k: np.concatenate([np.array(merged[k, at], np.float32) for at in range(0, v.size, PIECE)]).reshape(v.shape) for k, v in start.items()}
+
 
+def score(docs: DataFrame, words: list[str], parameters: dict[str, np.ndarray], rare: str | None = None, counts: np.ndarray | None = None) -> DataFrame:
+    """(doc_id, n_words, log_likelihood, per_word) of each document, its end included.
 
-def score(docs: DataFrame, words: list[str], parameters: dict[str, np.ndarray]) -> DataFrame:
-    """(doc_id, n_words, log_likelihood, per_word) of each document, its end included."""
-    shared = docs.sparkSession.sparkContext.broadcast((words, parameters))
+    With ``rare``, the folder of ``rare_words``, and the counts of ``vocabulary``,
+    ``docs`` being the counted parts, each word has its own probability; without,
+    a rare word has its bucket's.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((words, parameters, counts))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, parameters = shared.value
-        model = GRU(parameters)
-        for rows, docs in buffered(WordIds(words), batches):
+        words, parameters, counts = shared.value
+        model, ids = GRU(parameters), WordIds(words)
+        for rows, docs in buffered(by_shares(ids, rare, counts) if rare else by_ids(ids), batches):
             length = np.array([len(d) for d in docs])
             lanes = int(np.clip(1.5 * length.sum() / length.max(), 16, LANES))
             logp = model.run(docs, lanes, learn=False)
+            if rare:
+                logp += rows["share"].to_numpy()
             yield pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "n_words": length, "log_likelihood": logp, "per_word": logp / length})
 
-    return pick(docs, "doc_id", "text").mapInPandas(run, "doc_id long, n_words long, log_likelihood double, per_word double")
+    columns = ["doc_id", "text", "part"] if rare else ["doc_id", "text"]
+    return pick(docs, *columns).mapInPandas(run, "doc_id long, n_words long, log_likelihood double, per_word double")
 
 
 def lm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log-likelihood under a model of the whole corpus."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    words, counts = vocabulary(docs)
-    return score(docs, words, train(docs, words, counts))
+    parts = in_parts(docs)
+    counted = materialize(count_words(parts), "words")
+    words, counts = vocabulary(docs, counted)
+    return score(parts, words, train(docs, words, counts), rare_words(counted), counts)
