@@ -37,7 +37,7 @@ from .gbt import BoostedTrees
 
 GENERATORS = {
     "EMAIL": r"[\w.+%-]{1,64}@[\w-]{1,63}(?:\.[\w-]{1,63}){0,8}",
-    "PHONE": r"(?<![\w.])(?:\+?\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\w)",
+    "PHONE": r"(?<![\w.])(?:(?:\+?\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\+?(?:\d{1,3}[ .-])?\d{8,15})(?!\w)",
     "IP": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
     "CARD": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w)",
     "SSN": r"(?<![\w-])\d{3}[- ]\d{2}[- ]\d{4}(?![\w-])",
@@ -54,7 +54,7 @@ _CUES = {
     "tel": ("tel", "phone", "call", "fax", "mobile", "contact"),
     "card": ("card", "visa", "credit", "pay"),
     "secret": ("password", "passwd", "pwd", "secret", "token", "api", "key", "auth", "credential"),
-    "id": ("order", "invoice", "ref", "isbn", "item", "sku", "serial", "page", "pages", "pp"),
+    "id": ("order", "id", "invoice", "ref", "isbn", "item", "sku", "serial", "page", "pages", "pp"),
     "version": ("version", "release", "v", "build", "section", "chapter", "license"),
     "hash": ("commit", "sha", "md5", "checksum", "digest"),
 }
@@ -116,6 +116,7 @@ def features(text: str, c: Candidate) -> list[float]:
         span.count("-"),
         span.count(" "),
         float(span[0] == "+"),
+        float(span[0] == "0"),
         float("(" in span),
         len(digits),
         float(c.kind == "EMAIL" and "." in span.rpartition("@")[2]),
@@ -169,9 +170,14 @@ def _card(rng: random.Random) -> str:
     return sep.join(body[i : i + 4] for i in range(0, n, 4)) if sep else body
 
 
+def _compact_phones(rng: random.Random, ten: str) -> list[str]:
+    """E.164, the same with a blank after the country, and national numbers in one run."""
+    return [f"+1{ten}", f"+{rng.randint(1, 99)}{ten[: rng.randint(8, 10)]}", f"+{rng.randint(1, 99)} {ten}", ten, f"0{ten[1:]}"]
+
+
 def _phone(rng: random.Random) -> str:
     a, b, c = _digits(rng, 3), rng.choice(["555", _digits(rng, 3)]), _digits(rng, 4)
-    return rng.choice([f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+{rng.randint(1, 99)} {a} {b} {c}", f"+1-{a}-{b}-{c}", f"0{a[:2]} {b}{c[:1]} {c}"])
+    return rng.choice([f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+{rng.randint(1, 99)} {a} {b} {c}", f"+1-{a}-{b}-{c}", f"0{a[:2]} {b}{c[:1]} {c}", *_compact_phones(rng, a + b + c)])
 
 
 def _email(rng: random.Random) -> str:
@@ -211,6 +217,8 @@ def _look_alike(rng: random.Random) -> str:
             lambda: f"{rng.randint(1, 28):02d}.{rng.randint(1, 12):02d}.{rng.randint(1900, 2030)}",
             lambda: f"{rng.randint(1900, 2030)}-{rng.randint(1900, 2030)} {rng.randint(1900, 2030)}",
             lambda: f"order number {d(rng.randint(8, 16))}",
+            lambda: f"{rng.choice(['order', 'id', 'ref', 'serial', 'item', 'invoice', 'page'])} {d(rng.randint(8, 15))}",
+            lambda: f"{rng.choice(['19', '20'])}{d(2)}{rng.randint(1, 12):02d}{rng.randint(1, 28):02d}",
             lambda: f"invoice no. {d(3)}-{d(4)}-{d(3)}",
             lambda: f"ISBN 978-{d(1)}-{d(4)}-{d(4)}-{d(1)}",
             lambda: f"item {d(3)}-{d(2)}-{d(4)} sku",

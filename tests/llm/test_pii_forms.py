@@ -1,0 +1,20 @@
+import pytest
+
+from sylvaframe.llm.pii import candidates, fit, redact_texts
+
+
+@pytest.fixture(scope="module")
+def model():
+    return fit()
+
+
+@pytest.mark.parametrize("number", ["+14155550123", "4155550123", "+33612345678", "0612345678", "+1 4155550123", "+49 15123456789"])
+def test_compact_phone_numbers_go(model, number):
+    text = f"please call {number} now"
+    assert any(c.kind == "PHONE" and text[c.start : c.end] == number for c in candidates(text))
+    assert redact_texts([text], *model)[0][0] == "please call [PHONE] now"
+
+
+def test_bare_order_numbers_stay(model):
+    texts = ["order number 4155550123 was sent", "see id 20394857 there", "ref 120394857613 is open", "written on 20210304 at last"]
+    assert [t for t, _ in redact_texts(texts, *model)] == texts
