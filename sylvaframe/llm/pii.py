@@ -42,10 +42,12 @@ GENERATORS = {
     "CARD": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w)",
     "SSN": r"(?<![\w-])\d{3}[- ]\d{2}[- ]\d{4}(?![\w-])",
     "IBAN": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)",
-    "KEY": r"(?<![\w/+])(?=[A-Za-z_-]{0,40}\d)[A-Za-z0-9_-]{16,128}(?!\w)",
-    "SECRET": r"(?i)(?<!\w)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|commit|sha1|id|ref|build)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[^\s\"'<>]{6,200}[\"']?",
+    "KEY": r"(?<![\w/+])[A-Za-z0-9_-]{16,}(?!\w)",
+    "SECRET": r"(?i)(?<!\w)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|commit|sha1|id|ref|build)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[^\s\"'<>]{6,}[\"']?",
 }
 KINDS = tuple(GENERATORS)
+#: A KEY has a digit; sought in the span, as a look-ahead from each start would take quadratic time or a limit.
+_DIGIT = re.compile("[0-9]")
 _PATTERNS = [(k, re.compile(p)) for k, p in GENERATORS.items()]
 _ANCHOR = "[0-9@=]"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -86,7 +88,8 @@ class Candidate:
 
 
 def candidates(text: str) -> list[Candidate]:
-    return [Candidate(m.start(), m.end(), kind) for kind, p in _PATTERNS for m in p.finditer(text)]
+    found = [Candidate(m.start(), m.end(), kind) for kind, p in _PATTERNS for m in p.finditer(text)]
+    return [c for c in found if c.kind != "KEY" or _DIGIT.search(text, c.start, c.end)]
 
 
 def features(text: str, c: Candidate) -> list[float]:
@@ -189,11 +192,15 @@ def _ssn(rng: random.Random) -> str:
     return f"{rng.randint(1, 899):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}"
 
 
+def _long_key(rng: random.Random, letters: str) -> str:
+    return "".join(rng.choices(letters + "_-", k=int(48 * 2 ** rng.uniform(0, 6)))) + rng.choice("23456789")
+
+
 def _key(rng: random.Random) -> str:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
     mixed = upper + upper.lower() + "0189"
     return rng.choice(
-        ["AKIA" + "".join(rng.choices(upper, k=16)), "ghp_" + "".join(rng.choices(mixed, k=36)), "sk-" + "".join(rng.choices(mixed, k=40)), "".join(rng.choices(mixed, k=rng.randint(24, 48)))]
+        ["AKIA" + "".join(rng.choices(upper, k=16)), "ghp_" + "".join(rng.choices(mixed, k=36)), "sk-" + "".join(rng.choices(mixed, k=40)), "".join(rng.choices(mixed, k=rng.randint(24, 48))), _long_key(rng, mixed)]
     )
 
 
@@ -236,6 +243,7 @@ def _look_alike(rng: random.Random) -> str:
             lambda: f"pages {d(3)}-{d(3)}-{d(3)}",
             lambda: f"{d(2)}.{d(4)} {d(2)}.{d(4)}",
             lambda: f"{_filler(rng, 1)}-{_filler(rng, 1)}-{_filler(rng, 2).replace(' ', '-')}-2024",
+            lambda: "-".join(_filler(rng, rng.randint(8, 60)).split()) + f"-{d(4)}",
             lambda: f"{_filler(rng, 1)}_{_filler(rng, 1)}_{_filler(rng, 1)}_v{d(2)}",
             lambda: f"serial AB{d(2)} {_filler(rng, 1).upper()[:4]:X<4} {d(4)} {d(4)}",
             lambda: "1 000 000 000",

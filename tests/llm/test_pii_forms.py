@@ -1,3 +1,7 @@
+import random
+import string
+import time
+
 import pytest
 
 from sylvaframe.llm.pii import candidates, fit, redact_texts
@@ -18,3 +22,28 @@ def test_compact_phone_numbers_go(model, number):
 def test_bare_order_numbers_stay(model):
     texts = ["order number 4155550123 was sent", "see id 20394857 there", "ref 120394857613 is open", "written on 20210304 at last"]
     assert [t for t, _ in redact_texts(texts, *model)] == texts
+
+
+def long_token(n):
+    rng = random.Random(n)
+    return "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+
+
+@pytest.mark.parametrize("n", (40, 129, 300, 2000))
+def test_long_tokens_go_whole(model, n):
+    token = long_token(n)
+    for text in (f"use {token} for it", f"token={token} is set", f'password: "{token}" is set'):
+        out = redact_texts([text], *model)[0][0]
+        assert not any(token[i : i + 8] in out for i in range(n - 7)), (n, text[:12], out[:80])
+
+
+def test_a_key_whose_digits_come_late_is_a_candidate():
+    token = "abcdefgh_" * 10 + "7"
+    assert [token] == [("x " + token)[c.start : c.end] for c in candidates("x " + token) if c.kind == "KEY"]
+
+
+def test_candidates_take_linear_time():
+    for text in ("a-" * 200_000, "-" * 400_000, "a1-" * 100_000 + "é", "a" * 400_000, "id=" + "x" * 400_000):
+        began = time.process_time()
+        candidates(text)
+        assert time.process_time() - began < 5, text[:5]
