@@ -11,7 +11,8 @@ The model is trained on generated snippets: true instances in running text,
 and look-alikes (versions, dates, prices, order numbers, commit hashes, ISBNs,
 coordinates) as negatives. Nothing is learned from the corpus.
 
-Texts without a digit, '@' or '=' cannot hold a candidate and never leave Arrow.
+Texts without a digit of any script, '@', '=', ':' or a known key prefix cannot hold
+a candidate and never leave Arrow.
 
 Defined results: a null text stays null with no spans, an empty one empty;
 repeated rows get equal results; an empty table gives no rows; columns other
@@ -46,10 +47,13 @@ GENERATORS = {
     "SECRET": r"(?i)(?<!\w)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|commit|sha1|id|ref|build)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[^\s\"'<>]{6,}[\"']?",
 }
 KINDS = tuple(GENERATORS)
-#: A KEY has a digit; sought in the span, as a look-ahead from each start would take quadratic time or a limit.
-_DIGIT = re.compile("[0-9]")
+#: What known keys begin with.
+_PREFIXES = "AKIA|ASIA|ghp_|gho_|xox[bp]-|sk-|AIza"
+#: A KEY has a digit or a known prefix; sought in the span, as a look-ahead from each start would take quadratic time or a limit.
+_KEY_SIGN = re.compile(f"(?:{_PREFIXES})|[A-Za-z0-9_-]*?[0-9]")
 _PATTERNS = [(k, re.compile(p)) for k, p in GENERATORS.items()]
-_ANCHOR = "[0-9@=]"
+#: Every candidate has one of these; RE2 takes \d for ASCII only.
+_ANCHOR = rf"[\p{{Nd}}@=:]|{_PREFIXES}"
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Whole words; parts of words would be heard everywhere.
 _CUES = {
@@ -89,7 +93,7 @@ class Candidate:
 
 def candidates(text: str) -> list[Candidate]:
     found = [Candidate(m.start(), m.end(), kind) for kind, p in _PATTERNS for m in p.finditer(text)]
-    return [c for c in found if c.kind != "KEY" or _DIGIT.search(text, c.start, c.end)]
+    return [c for c in found if c.kind != "KEY" or _KEY_SIGN.match(text, c.start, c.end)]
 
 
 def features(text: str, c: Candidate) -> list[float]:
@@ -124,7 +128,7 @@ def features(text: str, c: Candidate) -> list[float]:
         len(digits),
         float(c.kind == "EMAIL" and "." in span.rpartition("@")[2]),
         float(re.fullmatch(r"[0-9a-fA-F]+", value) is not None),
-        float(re.fullmatch(r"(AKIA|ASIA|ghp_|gho_|xox[bp]-|sk-|AIza)\S*", value) is not None),
+        float(re.match(_PREFIXES, value) is not None),
         float(len(value)),
         float(any(w in name for w in ("pass", "pwd", "secret", "token", "key", "auth"))),
         float(re.match(r"(19|20)\d\d[-./ ]", span) is not None),
@@ -244,6 +248,7 @@ def _look_alike(rng: random.Random) -> str:
             lambda: f"{d(2)}.{d(4)} {d(2)}.{d(4)}",
             lambda: f"{_filler(rng, 1)}-{_filler(rng, 1)}-{_filler(rng, 2).replace(' ', '-')}-2024",
             lambda: "-".join(_filler(rng, rng.randint(8, 60)).split()) + f"-{d(4)}",
+            lambda: "sk-" + "-".join(_filler(rng, rng.randint(3, 6)).split()),
             lambda: f"{_filler(rng, 1)}_{_filler(rng, 1)}_{_filler(rng, 1)}_v{d(2)}",
             lambda: f"serial AB{d(2)} {_filler(rng, 1).upper()[:4]:X<4} {d(4)} {d(4)}",
             lambda: "1 000 000 000",
