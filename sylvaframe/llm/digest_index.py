@@ -71,12 +71,34 @@ def admit(index: DigestIndex, keyed: DataFrame) -> DataFrame:
     Returns the admitted heads (digest, doc_id, n_copies), read from a written
     table so that what was admitted does not change when the index has grown.
     """
-    heads = keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_copies"))
+    return admit_heads(index, heads_of(keyed))
+
+
+def heads_of(keyed: DataFrame) -> DataFrame:
+    return keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_copies"))
+
+
+def admit_heads(index: DigestIndex, heads: DataFrame) -> DataFrame:
     admitted = materialize(index.unseen(heads), "heads")
     index.append(admitted)
     return admitted
 
 
+def admit_in_two(index: DigestIndex, keyed: DataFrame) -> DataFrame:
+    """As admit, in two batches: the lower half of the range of ids, then the rest and the null ids.
+
+    Copies of the second batch that the first has indexed are added to its counts.
+    """
+    least, most = keyed.agg(F.min("doc_id"), F.max("doc_id")).first()
+    lower = F.coalesce(F.col("doc_id") <= F.lit(None if least is None else (least + most) // 2), F.lit(False))
+    first = admit(index, keyed.where(lower))
+    heads = materialize(heads_of(keyed.where(~lower)), "batch")
+    second = admit_heads(index, heads)
+    again = heads.join(second, "digest", "left_anti").select("digest", F.col("n_copies").alias("more"))
+    n_copies = (F.col("n_copies") + F.coalesce("more", F.lit(0))).alias("n_copies")
+    return first.join(again, "digest", "left").select("digest", "doc_id", n_copies).unionByName(second)
+
+
 def drop_copies(index: DigestIndex, docs: DataFrame) -> DataFrame:
     """The documents that stay, all columns unchanged.
 
@@ -118,7 +140,7 @@ def exact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, digest, n_copies) of each admitted document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     keyed = pick(docs, "doc_id", "text").select(digest_of(F.col("text")).alias("digest"), "doc_id").where(F.col("digest").isNotNull())
-    admitted = admit(DigestIndex(spark, scratch_path(spark, "digest-index")), keyed)
+    admitted = admit_in_two(DigestIndex(spark, scratch_path(spark, "digest-index")), keyed)
     return admitted.select("doc_id", F.lower(F.hex("digest")).alias("digest"), "n_copies")
 
 
