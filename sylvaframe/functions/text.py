@@ -7,6 +7,7 @@ null (a null array for splits); an empty one an empty string or array.
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 from collections.abc import Callable
@@ -17,12 +18,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: White space as Python sees it; Java's Unicode class lacks the four separators.
-SPACE = r"(?U)[\s\x1c-\x1f]"
+#: White space but the space itself. ASCII ones singly, which Java looks up in a table; the others behind one comparison.
+_BLANKS = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f[\x85-\u3000&&[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+#: White space as Python sees it; Java's Unicode class lacks four separators and is slow.
+SPACE = f"[ {_BLANKS}]"
 #: Letters, digits of any kind and the underscore.
 WORD = r"[\p{L}\p{N}_]"
 TERMINATOR = "[.!?]"
 _OPEN, _NEXT, _SHUT = "\ue000", "\ue001", "\ue002"
+_SIGNS = ("fig.", "i.e.", "i e ", "e.g.", "e g ", "etc.")
 _LONG_FORMS = ((r"fig\.", "figure"), (r"i\.e\.|i e ", "that is"), (r"e\.g\.|e g ", "for example"), (r"etc\.", "etc"))
 
 
@@ -32,8 +36,8 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def squeeze(text: Column) -> Column:
-    """Runs of white space to one space, none at either end."""
-    return F.trim(F.regexp_replace(text, SPACE + "+", " "))
+    """Runs of white space to one space, none at either end. A lone space is no match, as most are."""
+    return F.trim(F.regexp_replace(text, f"[{_BLANKS}]{SPACE}*| {SPACE}+", " "))
 
 
 def strip(text: Column) -> Column:
@@ -44,7 +48,7 @@ def basic(text: Column, preserve_case: bool = False, remove_punctuation: bool =
     """White space squeezed, punctuation to spaces if asked, lower case unless kept."""
     out = text
     if remove_punctuation:
-        out = F.regexp_replace(out, r"(?U)[^\p{L}\p{N}_\s\x1c-\x1f]", " ")
+        out = F.regexp_replace(out, rf"[^\p{{L}}\p{{N}}_ {_BLANKS}]", " ")
     if not preserve_case:
         out = F.lower(out)
     # squeezing once, at the end, gives what squeezing before and after would
@@ -90,8 +94,9 @@ def to_ascii(text: Column) -> Column:
     longer image (ligatures, fractions, squared units) are taken apart.
     """
     one, more = _ascii_images()
-    several = "[" + _ranges(sorted(map(ord, more))) + "]"
-    images = F.create_map(*[F.lit(x) for pair in more.items() for x in pair])
+    # the long class is tried for characters that aren't ASCII only
+    several = r"[^\x00-\x7F](?<=[" + _ranges(sorted(map(ord, more))) + "])"
+    images = F.from_json(F.lit(json.dumps(more)), "map<string,string>")  # one literal, not two for each character
 
     def plain(t: Column) -> Column:
         apart = F.array_join(F.transform(F.split(t, ""), lambda c: F.coalesce(F.try_element_at(images, c), c)), "")
@@ -102,10 +107,17 @@ def to_ascii(text: Column) -> Column:
     return bind(text, plain)
 
 
-def expand_abbreviations(text: Column) -> Column:
-    """Abbreviations written out, then a space before a capital or digit that follows a letter or comma.
+def _may_abbreviate(text: Column) -> Column:
+    """False for most texts without an abbreviation, at the cost of searches for fixed strings."""
+    low = F.lower(text)
+    hit = F.lit(False)
+    for sign in _SIGNS:
+        hit = hit | F.contains(low, F.lit(sign))
+    return hit
+
 
-    All alternatives are matched in one pass from left to right, which marks
+def _written_out(text: Column) -> Column:
+    """All alternatives are matched in one pass from left to right, which marks
     each match by its kind; the marks are then replaced. A dotted form only
     counts directly before a word character.
     """
@@ -115,7 +127,21 @@ def expand_abbreviations(text: Column) -> Column:
     for k, (_, words) in enumerate(_LONG_FORMS):
         before, after = _NEXT * k, _NEXT * (len(_LONG_FORMS) - 1 - k)
         out = F.regexp_replace(out, f"{_OPEN}{before}[^{_OPEN}{_NEXT}{_SHUT}]+{after}{_SHUT}", words)
-    return F.regexp_replace(out, "(?<=[,A-Za-z])(?=[0-9A-Z])", " ")
+    return out
+
+
+def expand_abbreviations(text: Column) -> Column:
+    """Abbreviations written out, then a space before a capital or digit that follows a letter or comma."""
+    out = bind(text, lambda t: F.when(_may_abbreviate(t), _written_out(t)).otherwise(t))
+    # digits and capitals are rare by now, so they are looked for first
+    return F.regexp_replace(out, "([0-9A-Z])(?<=[,A-Za-z].)", " $1")
+
+
+def settled(text: Column, preserve_case: bool = False) -> Column:
+    """Whether another pass of ``medium`` would surely leave the text as it is; some texts that it would leave are missed."""
+    capital = "" if preserve_case else "[A-Z]|"
+    odd = f"{capital}[^ -~]|^ | $|  |[,A-Za-z][0-9A-Z]"
+    return ~(F.regexp_like(text, F.lit(odd)) | _may_abbreviate(text))
 
 
 def medium(text: Column, normalize_unicode: bool = True) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import preprocess, sentences, strip
+from ..functions.text import preprocess, sentences, settled, strip
 
 
 def stable_id(*parts: Column) -> Column:
@@ -34,13 +34,21 @@ def in_vocabulary(df: DataFrame, vocabulary: DataFrame, token: str = "token", wo
     return df.join(vocabulary.select(F.col(word).alias("_word")).distinct(), F.col(token) == F.col("_word"), "left_semi")
 
 
-def clean_sentences(text: Column, **options) -> Column:
+def clean_sentences(text: Column, strictness: int = 2, preserve_case: bool = False, remove_punctuation: bool = False, normalize_unicode: bool = True) -> Column:
     """Sentences of the cleaned text, each cleaned again, as an array.
 
     The second pass matters: a word lost with its accents leaves two spaces,
-    and an abbreviation may only come free by the split.
+    and an abbreviation may only come free by the split. Most sentences hold
+    nothing it could change, which one test tells.
     """
-    return F.transform(sentences(preprocess(text, **options)), lambda s: preprocess(s, **options))
+    clean = lambda s: preprocess(s, strictness, preserve_case, remove_punctuation, normalize_unicode)
+
+    def again(s: Column) -> Column:
+        if strictness < 2 or remove_punctuation or not normalize_unicode:
+            return clean(s)
+        return F.when(settled(s, preserve_case), s).otherwise(clean(s))
+
+    return F.transform(sentences(clean(text)), again)
 
 
 def keep_valid(token_lists: Column, least: int = 3, most: int = 50, max_trees: int = 10) -> Column:
