@@ -23,6 +23,10 @@ class Preprocessing:
     normalize_unicode: bool = True
     min_token_length: int = 0
     max_token_length: int = 30
+    #: Kinds of questions that the question reader takes; all if not given.
+    question_types: tuple[str, ...] | None = None
+    #: Words taken from each word list.
+    vocab_limit: int = 500_000
 
     def options(self) -> dict:
         return {k: getattr(self, k) for k in ("strictness", "preserve_case", "remove_punctuation", "normalize_unicode")}

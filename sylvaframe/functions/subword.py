@@ -19,8 +19,8 @@ from ..runtime import map_rows
 from ..sources.readers import number_lines, raw_lines
 from .text import is_number
 
-#: Words of two letters that count as words, and those of one.
-SHORT_WORDS = frozenset(re.findall("..", "amanasataxbebydogohehiifinisitmemynoofohonoroxpisotoupuswe") + ["i", "a"])
+#: Words of one and two letters that count as words.
+SHORT_WORDS = frozenset("a i am an as at ax be by do go he hi if in is it me my no of oh ok on or ox pi so to up us we".split())
 VOCAB_LIMIT = 500_000
 
 
@@ -91,17 +91,29 @@ def segment_words(words: DataFrame, vocabularies: list[set[str]], greedy_only: b
 
 
 def with_known_tokens(df: DataFrame, column: str, vocabularies: list[set[str]]) -> DataFrame:
-    """``column`` (an array of token arrays) with unknown long tokens split; those that can't be split go."""
+    """``column`` (an array of token arrays) with unknown long tokens split; those that can't be split go.
+
+    A token is split once a task however often it occurs.
+    """
     shared = df.sparkSession.sparkContext.broadcast(vocabularies)
 
     def make():
         segmenter = Segmenter(shared.value)
+        known: dict[str, list[str]] = {}
+
+        def parts(t: str) -> list[str]:
+            plain = t in segmenter.weight or len(t) < 5 or t.replace(".", "", 1).isdigit()
+            return [t] if plain else segmenter.segment(t)
 
         def one(tokens: list[str]) -> list[str]:
             out = []
             for t in tokens:
-                plain = t in segmenter.weight or len(t) < 5 or t.replace(".", "", 1).isdigit()
-                out.extend([t] if plain else segmenter.segment(t))
+                found = known.get(t)
+                if found is None:
+                    if len(known) > 500_000:  # as a cache may be emptied
+                        known.clear()
+                    found = known[t] = parts(t)
+                out.extend(found)
             return out
 
         return lambda lists: None if lists is None else [one(tokens) for tokens in lists]
@@ -109,10 +121,29 @@ def with_known_tokens(df: DataFrame, column: str, vocabularies: list[set[str]])
     return map_rows(df, "_known", "array<array<string>>", make, column).withColumn(column, F.col("_known")).drop("_known")
 
 
+def vocabulary_words(lines: DataFrame, vectors: bool = False, limit: int = VOCAB_LIMIT) -> DataFrame:
+    """(word) of numbered lines, the first ``limit`` of each file, short words filtered.
+
+    A line is a word, or with ``vectors`` a word and its numbers, the first line
+    of such a file being its size.
+    """
+    first = F.element_at(F.split(F.trim("value"), " "), 1)
+    rows = lines.where((F.col("ordinal") > 0) & (F.col("ordinal") <= limit)) if vectors else lines.where(F.col("ordinal") < limit)
+    return rows.select((first if vectors else F.trim("value")).alias("word")).where(keep_word(F.col("word")) & (F.col("word") != ""))
+
+
+def word_weights(vocabularies: list[DataFrame]) -> DataFrame:
+    """(word, weight): in how many of the vocabularies, each a frame of words, a word stands."""
+    out = vocabularies[0].select("word").distinct()
+    for v in vocabularies[1:]:
+        out = out.unionByName(v.select("word").distinct())
+    return out.groupBy("word").agg(F.count(F.lit(1)).alias("weight"))
+
+
 def read_vocabularies(spark: SparkSession, paths: list[str], limit: int = VOCAB_LIMIT) -> list[set[str]]:
-    """One set for each word list (a word a line): its first ``limit`` lines, short words filtered."""
+    """One set for each word list (a word a line) or vector file (``.vec``): its first ``limit`` words, short ones filtered."""
     found = []
     for path in paths:
-        rows = number_lines(raw_lines(spark, path)).where(F.col("ordinal") < limit)
-        found.append({r[0] for r in rows.select(F.trim("value").alias("word")).where(keep_word(F.col("word"))).collect()})
+        words = vocabulary_words(number_lines(raw_lines(spark, path)), path.endswith(".vec"), limit)
+        found.append({r[0] for r in words.collect()})
     return found

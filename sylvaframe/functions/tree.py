@@ -197,6 +197,39 @@ def from_zero_based(tokens: Column) -> Column:
     return F.transform(tokens, one)
 
 
+# -- JSON ------------------------------------------------------------------------
+
+_DOCUMENT = "struct<word:string,lemma:string,pos_tag:string,idx:int,features:map<string,string>,dependency_to_parent:string,head:int>"
+
+
+def _node_document(n: Column) -> Column:
+    fields = {"word": n["word"], "lemma": n["lemma"], "pos_tag": n["pos"], "idx": n["idx"], "features": n["morph"], "dependency_to_parent": n["rel"], "head": n["head"]}
+    return F.struct(*[c.alias(k) for k, c in fields.items()])
+
+
+def _document_node(d: Column) -> Column:
+    return node(d["idx"], d["word"], d["lemma"], d["pos_tag"], d["head"], d["dependency_to_parent"], d["features"])
+
+
+def node_to_json(n: Column) -> Column:
+    return F.to_json(_node_document(n))
+
+
+def node_from_json(text: Column) -> Column:
+    """The node; null for what isn't JSON."""
+    return bind(F.from_json(text, _DOCUMENT), lambda d: F.when(d["idx"].isNotNull(), _document_node(d)))
+
+
+def tree_to_json(nodes: Column) -> Column:
+    """``{"nodes": [...]}`` in token order; every depth is kept, as each node names its head."""
+    return F.to_json(F.struct(F.transform(nodes, _node_document).alias("nodes")))
+
+
+def tree_from_json(text: Column) -> Column:
+    """The nodes if they are a tree, else null."""
+    return bind(F.transform(F.from_json(text, f"struct<nodes:array<{_DOCUMENT}>>")["nodes"], _document_node), build_tree)
+
+
 # -- checks ----------------------------------------------------------------------
 
 

@@ -1,14 +1,16 @@
 """Parser backends and the merge of several parsers' trees.
 
-A backend turns an array of tokens into an array of nodes. Rule backends are
-Column expressions; model backends (not available offline) are batch functions
-that run in an Arrow iterator, loading their model once per task. All backends
-see the same token lists, so their nodes meet by idx.
+A backend turns an array of tokens into an array of nodes. The built-in ones are
+Column expressions and also flat parsers (see ``flat``), which whole datasets
+use; model backends (not available offline) are batch functions, loading their
+model once per task. All backends see the same token lists, so their nodes meet
+by idx.
 """
 
 from __future__ import annotations
 
 import importlib
+import importlib.util
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -20,6 +22,7 @@ from ..functions.text import bind
 from ..functions.tree import _rebuilt, build_tree, by_idx, contents_ok, node, size_ok
 from ..runtime import schema_with
 from ..schemas import NODES
+from .flat import FlatParser, Lexicon, chain_parser, from_lists, rule_parser
 
 BACKENDS: dict[str, "Backend"] = {}
 DETERMINERS = ("the", "a", "an", "this", "that", "le", "la", "les", "der", "die", "das", "el", "los")
@@ -30,12 +33,16 @@ CONJUNCTIONS = ("and", "or", "but", "et", "und", "y")
 
 @dataclass(frozen=True)
 class Backend:
-    """``expression``: tokens to nodes as a Column; ``batch``: lists of tokens to lists of node mappings."""
+    """``expression``: tokens to nodes as a Column; ``batch``: lists of tokens to lists of node mappings; ``flat``: all sentences' tokens to flat nodes."""
 
     name: str
     capabilities: frozenset[str]
     expression: Callable[[Column], Column] | None = None
     batch: Callable[[], Callable[[list[list[str]]], list]] | None = field(default=None)
+    flat: Callable[[], FlatParser] | None = field(default=None)
+
+    def flat_loader(self) -> Callable[[], FlatParser] | None:
+        return self.flat or (from_lists(self.batch) if self.batch else None)
 
     def parse(self, tokens: Column) -> Column:
         if self.expression is None:
@@ -120,8 +127,9 @@ def chain_nodes(tokens: Column) -> Column:
     return F.transform(tokens, lambda w, i: node(i + 1, w, F.lower(w), tag(w), i, F.when(i == 0, "root").otherwise("dep")))
 
 
-register(Backend("rules", frozenset({"tree_structure", "dependency_labels", "pos_tags", "lemmas", "morph"}), rule_nodes))
-register(Backend("chain", frozenset({"tree_structure", "dependency_labels", "pos_tags", "lemmas"}), chain_nodes))
+_LEXICON = Lexicon(DETERMINERS, ADPOSITIONS, PRONOUNS, CONJUNCTIONS)
+register(Backend("rules", frozenset({"tree_structure", "dependency_labels", "pos_tags", "lemmas", "morph"}), rule_nodes, flat=rule_parser(_LEXICON)))
+register(Backend("chain", frozenset({"tree_structure", "dependency_labels", "pos_tags", "lemmas"}), chain_nodes, flat=chain_parser(_LEXICON)))
 
 
 def _pipeline_batch(model: str):
@@ -145,12 +153,68 @@ def _pipeline_batch(model: str):
     return load
 
 
-if importlib.util.find_spec("spacy") is not None:
-    register(Backend("spacy", frozenset({"pos_tags", "lemmas", "morph", "ner", "tree_structure", "dependency_labels"}), batch=_pipeline_batch("en_core_web_sm")))
+def conll_nodes(lines: str) -> list[dict]:
+    """Nodes of one sentence in CoNLL-U columns; comments, word ranges and empty nodes are passed over."""
+    out = []
+    for line in lines.splitlines():
+        cells = line.split("\t")
+        if len(cells) < 8 or not cells[0].isdigit():
+            continue
+        given = lambda k: None if cells[k] in ("", "_") else cells[k]
+        morph = dict(f.split("=", 1) for f in (given(5) or "").split("|") if "=" in f)
+        out.append({"idx": int(cells[0]), "word": cells[1], "lemma": given(2), "pos": given(3), "head": int(cells[6]), "rel": given(7), "morph": morph})
+    return out
+
+
+def _biaffine_batch(model: str, batch_tokens: int = 50_000):
+    """A biaffine parser, which prints its sentences as CoNLL; on a GPU if there is one."""
+
+    def load():
+        parser = importlib.import_module("diaparser.parsers").Parser.load(model)
+
+        def run(lists: list[list[str]]) -> list:
+            # an empty sentence would upset the model
+            full = [ts for ts in lists if ts]
+            parsed = iter(parser.predict(full, batch_size=batch_tokens, prob=False).sentences if full else [])
+            return [conll_nodes(str(next(parsed))) if ts else [] for ts in lists]
+
+        return run
+
+    return load
+
+
+def _installed(name: str) -> bool:
+    return importlib.util.find_spec(name) is not None
+
+
+def register_models() -> list[str]:
+    """Registers the adapters of the model parsers that are installed, and gives their names."""
+    found = []
+    if _installed("spacy"):
+        register(Backend("spacy", frozenset({"pos_tags", "lemmas", "morph", "ner", "tree_structure", "dependency_labels"}), batch=_pipeline_batch("en_core_web_sm")))
+        found.append("spacy")
+    if _installed("diaparser"):
+        register(Backend("diaparser", frozenset({"tree_structure", "dependency_labels"}), batch=_biaffine_batch("en_ewt-electra")))
+        found.append("diaparser")
+    return found
+
+
+register_models()
 
 
-def parse_batches(df: DataFrame, tokens: str, backend: Backend, out: str) -> DataFrame:
-    """Adds ``out`` (array of node arrays) for ``tokens`` (array of token arrays) by a batch backend."""
+def gpu_profile(gpus: int = 1, cores: int = 1):
+    """A resource profile whose tasks share ``gpus`` GPUs an executor, so that models meet on a GPU as often as it can bear."""
+    from pyspark.resource import ExecutorResourceRequests, ResourceProfileBuilder, TaskResourceRequests
+
+    executors = ExecutorResourceRequests().cores(cores).resource("gpu", gpus)
+    return ResourceProfileBuilder().require(executors).require(TaskResourceRequests().cpus(1).resource("gpu", gpus / cores)).build
+
+
+def parse_batches(df: DataFrame, tokens: str, backend: Backend, out: str, profile=None) -> DataFrame:
+    """Adds ``out`` (array of node arrays) for ``tokens`` (array of token arrays) by a batch backend.
+
+    ``profile``: a resource profile for the stage, see ``gpu_profile``.
+    """
     schema = schema_with(df, out, f"array<{NODES}>")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -161,7 +225,7 @@ def parse_batches(df: DataFrame, tokens: str, backend: Backend, out: str) -> Dat
             rows[out] = [[next(flat) for _ in ts] for ts in lists]
             yield rows
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(run, schema, profile=profile)
 
 
 #: Which parser gives what.

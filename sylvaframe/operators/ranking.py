@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
+
 ROWS_PER_BUCKET = 100_000
 HASH_RANGE = 2**32
 _MULTIPLIER = 2_654_435_761
@@ -21,17 +23,32 @@ def shared_hash(value: Column, seed: int = 42) -> Column:
     return F.pmod(F.pmod(value.cast("long"), F.lit(2**31)) * F.lit(_MULTIPLIER) + F.lit(seed), F.lit(HASH_RANGE))
 
 
+def shared_text_hash(value: Column, seed: int = 42) -> Column:
+    """As shared_hash for a string: the leading 32 bits of an MD5."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), value).cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def order_hash(df: DataFrame, key: str, seed: int = 42) -> Column:
+    """A 32-bit hash of ``key``, a number or a string. Rows without a key get one of the whole row, so they don't all meet."""
+    whole = df.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
+    own = shared_hash(F.col(key), seed) if whole else shared_text_hash(F.col(key).cast("string"), seed)
+    return F.coalesce(own, F.pmod(F.xxhash64(*df.columns), F.lit(HASH_RANGE)))
+
+
 def ranked(df: DataFrame, group: list[str], key: str, ties: list[str], key_range: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``df`` with ``rank`` (from 1, within the group, by key then ties) and ``of`` (rows in the group).
+    """``df`` with ``rank`` (from 1, within the group, by key then ties, nulls first) and ``of`` (rows in the group).
 
-    ``key``: a column of whole numbers from 0. Buckets are even cuts of
-    [0, ``key_range``), or runs of ``rows_per_bucket`` keys for dense ordinals.
+    With ``key_range`` the key is a whole number of [0, key_range), spread evenly,
+    and buckets are even cuts of it. Otherwise it may be of any orderable type:
+    buckets are ranges that Spark cuts by a sample, and the rows are written once.
     """
     if key_range is None:
-        width = rows_per_bucket
+        buckets = max(1, -(-df.count() // rows_per_bucket))
+        cut = df.repartitionByRange(buckets, *group, key, *ties).withColumn("_bucket", F.spark_partition_id().cast("long"))
+        work = materialize(cut, "ranges")
     else:
         width = max(1, key_range // max(1, -(-df.count() // rows_per_bucket)))
-    work = df.withColumn("_bucket", F.floor(F.col(key) / F.lit(width)).cast("long"))
+        work = df.withColumn("_bucket", F.coalesce(F.floor(F.col(key) / F.lit(width)).cast("long"), F.lit(-1)))
     counted = work.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     ahead = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     placed = counted.select(

@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import HASH_RANGE, ROWS_PER_BUCKET, partition_of, rank_in_split, ranked, shard_of, shared_hash, split_name
+from .ranking import HASH_RANGE, ROWS_PER_BUCKET, order_hash, partition_of, rank_in_split, ranked, shard_of, split_name
+
+
+#: name -> function of (groups, key, group columns, shard_size, **options) that adds split, ordinal and shard_index.
+STRATEGIES: dict[str, Callable[..., DataFrame]] = {}
+
 
+def strategy(name: str):
+    def register(f):
+        STRATEGIES[name] = f
+        return f
 
+    return register
+
+
+@strategy("random")
 def split_and_shard(
     groups: DataFrame, key: str, group: list[str] | None = None, shard_size: int = 500, train: float = 0.8, dev: float = 0.1, seed: int = 42, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """Adds split, ordinal (from 0 within the split) and shard_index, per source file (``group``).
 
-    Rows are shuffled by a hash of ``key``; split sizes are exact.
+    Rows are shuffled by a hash of ``key``, a number or a string; split sizes are
+    exact, and rows without a key take part.
     """
     group = group or []
-    hashed = groups.withColumn("_hash", shared_hash(F.col(key), seed))
+    hashed = groups.withColumn("_hash", order_hash(groups, key, seed))
     out = ranked(hashed, group, "_hash", [key], HASH_RANGE, rows_per_bucket)
     place = rank_in_split(F.col("rank"), F.col("of"), train, dev)
     return out.select(
@@ -41,6 +57,13 @@ def shard_in_order(groups: DataFrame, ordinal: str, group: list[str] | None = No
     )
 
 
+@strategy("single")
+def one_split(groups: DataFrame, key: str, group: list[str] | None = None, shard_size: int = 500, split: str = "train", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """All rows in one split, in the order of ``key``."""
+    out = ranked(groups, group or [], key, [], None, rows_per_bucket)
+    return out.select(*groups.columns, F.lit(split).alias("split"), (F.col("rank") - 1).cast("long").alias("ordinal"), shard_of(F.col("rank"), shard_size).alias("shard_index"))
+
+
 def shard_counts(sharded: DataFrame, *keys: str) -> DataFrame:
     """(keys, n_groups, trees_per_group, trees_b_per_group) in the order of ``ordinal``."""
     sizes = F.array_sort(F.collect_list(F.struct("ordinal", F.size("trees").alias("a"), F.size("trees_b").alias("b"))))

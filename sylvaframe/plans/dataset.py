@@ -4,6 +4,11 @@ A text's sentences, tokens, trees and graphs stay arrays in the text's own row,
 from the scan to the sink: nothing is exploded, so nothing has to be grouped
 again, and the plan has no shuffle at all. Tables for other uses (one row a
 sentence, say) come from exploding at the end.
+
+Cleaning and tokens are built-in expressions; token lists then go to one Arrow
+function, which gives the finished graphs, and no other column does. It is told
+to the optimizer as not deterministic, so that a filter on its result does not
+make it, and the cleaning below it, run twice.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from ..config import Config
 from ..functions.subword import with_known_tokens
 from ..functions.text import preprocess, regex_tokens, word_punct_tokens
 from ..functions.tree import build_tree, contents_ok, size_ok, to_graph
+from ..operators.flat import with_parsed
 from ..operators.parse import BACKENDS, merge_trees, parse_batches, parse_sentence
 from ..operators.prepare import clean_sentences, keep_group, keep_valid, map_labels, stable_id, without_processed
 from ..schemas import GRAPH, NODES
@@ -35,6 +41,12 @@ def valid_sentences(text: Column, config: Config) -> Column:
     return keep_valid(tokens, p.min_tokens, p.max_tokens, p.max_trees)
 
 
+def flat_loaders(config: Config) -> dict | None:
+    """The flat parsers of the enabled backends; null if one has none."""
+    found = {name: BACKENDS[name].flat_loader() for name in config.parser.parsers}
+    return found if all(found.values()) else None
+
+
 def _trees(rows: DataFrame, tokens: str, out: str, config: Config) -> DataFrame:
     """Adds ``out``: array<struct<text, nodes>> of the checked trees."""
     p = config.parser
@@ -68,16 +80,17 @@ def _with_tokens(rows: DataFrame, text: str, out: str, config: Config, vocabular
     return rows.withColumn(out, F.transform(kept, lambda s: s["tokens"]))
 
 
-def parse_pairs(pairs: DataFrame, config: Config = Config(), vocabularies: list[set[str]] | None = None) -> DataFrame:
-    """(group_id, text, text_clean, text_b, text_b_clean, label, trees, trees_b): trees as node arrays.
+def with_group_ids(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with a pair_id everywhere: where there is none, an id made of the contents."""
+    own = stable_id(F.lit(None), F.col("text"), F.col("text_b"))
+    return pairs.withColumn("pair_id", F.coalesce(F.col("pair_id").cast("string"), own))
 
-    Without a pair_id the group gets an id made of its contents. A null text
-    has no sentences. ``vocabularies`` are those of the tokenizer ``vocab``.
-    """
-    own = stable_id(F.col("pair_id"), F.col("text"), F.col("text_b"))
+
+def token_rows(pairs: DataFrame, config: Config = Config(), vocabularies: list[set[str]] | None = None) -> DataFrame:
+    """(group_id, text, text_clean, text_b, text_b_clean, label, _a, _b): the last two hold the token lists that are parsed."""
     opts = config.preprocessing.options()
-    rows = pairs.select(
-        F.coalesce(F.col("pair_id").cast("string"), own).alias("group_id"),
+    rows = with_group_ids(pairs).select(
+        F.col("pair_id").alias("group_id"),
         "text",
         preprocess(F.col("text"), **opts).alias("text_clean"),
         "text_b",
@@ -86,18 +99,36 @@ def parse_pairs(pairs: DataFrame, config: Config = Config(), vocabularies: list[
     )
     rows = _with_tokens(rows, "text", "_a", config, vocabularies)
     none = F.array().cast("array<array<string>>")
-    rows = _with_tokens(rows, "text_b", "_b", config, vocabularies) if config.output.paired else rows.withColumn("_b", none)
-    rows = _trees(_trees(rows, "_a", "trees", config), "_b", "trees_b", config)
+    return _with_tokens(rows, "text_b", "_b", config, vocabularies) if config.output.paired else rows.withColumn("_b", none)
+
+
+def parse_pairs(pairs: DataFrame, config: Config = Config(), vocabularies: list[set[str]] | None = None) -> DataFrame:
+    """(group_id, text, text_clean, text_b, text_b_clean, label, trees, trees_b): trees as node arrays.
+
+    Without a pair_id the group gets an id made of its contents. A null text
+    has no sentences. ``vocabularies`` are those of the tokenizer ``vocab``.
+    """
+    rows = token_rows(pairs, config, vocabularies)
+    loaders, p = flat_loaders(config), config.parser
+    if loaders:
+        rows = with_parsed(rows, {"trees": "_a", "trees_b": "_b"}, loaders, p.sources, p.min_nodes, p.max_nodes, graphs=False)
+    else:
+        rows = _trees(_trees(rows, "_a", "trees", config), "_b", "trees_b", config)
     return rows.select("group_id", "text", "text_clean", "text_b", "text_b_clean", "label", "trees", "trees_b")
 
 
+def kept_groups(rows: DataFrame, config: Config) -> DataFrame:
+    """The groups that meet the keep rule, with labels mapped if the config says so."""
+    kept = rows.where(keep_group(F.col("trees"), F.col("trees_b"), config.output.paired, config.output.self_paired))
+    kept = kept.select("group_id", "text", "trees", "label", "text_b", "trees_b")
+    o = config.output
+    return map_labels(kept, "label", o.label_map, o.normalize) if o.label_map else kept
+
+
 def to_groups(parsed: DataFrame, config: Config = Config()) -> DataFrame:
-    """Groups of graphs that meet the keep rule; the label stays as it was given."""
-    kept = parsed.where(keep_group(F.col("trees"), F.col("trees_b"), config.output.paired, config.output.self_paired))
+    """Groups of graphs, from trees as node arrays, that meet the keep rule; the label stays as it was given."""
     graphs = lambda c: F.transform(c, lambda t: to_graph(t["nodes"], t["text"])).cast(f"array<{GRAPH}>")
-    rows = kept.select("group_id", "text", graphs(F.col("trees")).alias("trees"), "label", "text_b", graphs(F.col("trees_b")).alias("trees_b"))
-    o = config.output
-    return map_labels(rows, "label", o.label_map, o.normalize) if o.label_map else rows
+    return kept_groups(parsed.withColumns({"trees": graphs(F.col("trees")), "trees_b": graphs(F.col("trees_b"))}), config)
 
 
 def build_dataset(
@@ -106,7 +137,12 @@ def build_dataset(
     """Pairs to groups of graphs; pairs whose pair_id is in ``processed`` are left out."""
     if processed is not None:
         pairs = without_processed(pairs, processed, "pair_id")
-    return to_groups(parse_pairs(pairs, config, vocabularies), config)
+    loaders = flat_loaders(config)
+    if loaders is None:
+        return to_groups(parse_pairs(pairs, config, vocabularies), config)
+    p = config.parser
+    rows = with_parsed(token_rows(pairs, config, vocabularies), {"trees": "_a", "trees_b": "_b"}, loaders, p.sources, p.min_nodes, p.max_nodes, graphs=True)
+    return kept_groups(rows, config)
 
 
 def dataset_from_files(spark: SparkSession, dataset_type: str, path: str, config: Config = Config(), **options) -> DataFrame:

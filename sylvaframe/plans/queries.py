@@ -7,46 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Config, Parser, load_config
+from ..config import load_config
 from ..functions import text as T
 from ..functions import tree as R
 from ..functions.features import DEPENDENCIES, MORPH, POS, edge_features, morph_vector, one_hot
-from ..functions.subword import keep_word, needs_split, segment_words
+from ..functions.subword import keep_word
 from ..functions.viz import tree_dot, with_pair_text, with_tree_text
 from ..operators import contrast, embed, sharding
-from ..operators.parse import chain_nodes, parse_sentence, rule_nodes
+from ..operators.flat import with_parsed
+from ..operators.parse import BACKENDS, chain_nodes
 from ..operators.prepare import clean_sentences, filter_groups, in_vocabulary, keep_valid, map_labels, project_pairs, skip_rate, without_processed
 from ..operators.ranking import ranked
 from ..runtime import materialize, scratch_path
+from ..schemas import GROUP
 from ..sources.readers import question_fields, read_group_documents, read_pairs
 from ..sources.writers import merge_documents, write_documents
 from ..streaming.ingest import ingest
+from . import file_queries, operator_queries  # noqa: F401  (they register theirs)
 from . import sql as S
-from .dataset import build_dataset, parse_pairs, sentence_stats, tokenize, valid_sentences
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-CONFIG = Config()
-
-
-def query(name: str, oracle: str | None = None):
-    def register(f: Query) -> Query:
-        QUERIES[name] = f
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def joined(values: Column, sep: str = " ") -> Column:
-    return F.array_join(values.cast("array<string>"), sep)
-
+from .dataset import build_dataset, sentence_stats, valid_sentences
+from .registry import CONFIG, ORACLES, QUERIES, documents, joined, query, table  # noqa: F401
 
 # -- text --------------------------------------------------------------------------
 
@@ -60,13 +40,13 @@ LEFT JOIN (SELECT doc_id, count(*) AS n FROM ranked GROUP BY doc_id) v USING (do
 LEFT JOIN (SELECT doc_id, count(*) AS n, sum(len(t)) AS toks, arg_min(s, sent_idx) AS first_kept FROM kept GROUP BY doc_id) k USING (doc_id)""",
 )
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_stats(table(spark, sf_dir, "documents"), CONFIG)
+    return sentence_stats(documents(spark, sf_dir), CONFIG)
 
 
 def _preprocess(name: str, oracle: str, **options) -> None:
     @query(name, f"SELECT doc_id, {oracle} AS clean FROM documents")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return table(spark, sf_dir, "documents").select("doc_id", T.preprocess(F.col("text"), **options).alias("clean"))
+        return documents(spark, sf_dir).select("doc_id", T.preprocess(F.col("text"), **options).alias("clean"))
 
 
 _preprocess("preprocess_l0", "text", strictness=0)
@@ -76,13 +56,13 @@ _preprocess("preprocess_l1_keepcase", S.basic("text", keep_case=True), strictnes
 _preprocess("preprocess_l2", S.level2("text"), strictness=2)
 _preprocess("preprocess_l3", f"lower({S.level2('text')})", strictness=3)
 
-_ABBREVIATED = "concat('see fig.', item_id, ' i.e.', item_id, ' i e the e g x etc.', item_id, ' ', text)"
+_ABBREVIATED = "concat('see fig.', doc_id, ' i.e.', doc_id, ' i e the e g x etc.', doc_id, ' ', text)"
 
 
-@query("abbreviation_cleanup", f"SELECT item_id, {S.level2(_ABBREVIATED)} AS clean FROM benchmark")
+@query("abbreviation_cleanup", f"SELECT doc_id, {S.level2(_ABBREVIATED)} AS clean FROM documents")
 def abbreviation_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "benchmark").select("item_id", F.expr(_ABBREVIATED).alias("t"))
-    return rows.select("item_id", T.preprocess(F.col("t")).alias("clean"))
+    rows = documents(spark, sf_dir).select("doc_id", F.expr(_ABBREVIATED).alias("t"))
+    return rows.select("doc_id", T.preprocess(F.col("t")).alias("clean"))
 
 
 @query(
@@ -91,7 +71,7 @@ def abbreviation_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, (generate_subscripts(r, 1) - 1)::INTEGER AS sent_idx, unnest(r) AS sentence FROM r""",
 )
 def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("sent_idx", "sentence"))
+    return documents(spark, sf_dir).select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("sent_idx", "sentence"))
 
 
 @query(
@@ -105,7 +85,7 @@ def sentence_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("regex_tokens", f"SELECT doc_id, len({S.tokens('text', 0, 10**6)})::INTEGER AS n_tokens, array_to_string({S.tokens('text', 0, 10**6)}, ' ') AS tokens FROM documents")
 def regex_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", T.regex_tokens(F.col("text"), 0, 10**6).alias("t"))
+    rows = documents(spark, sf_dir).select("doc_id", T.regex_tokens(F.col("text"), 0, 10**6).alias("t"))
     return rows.select("doc_id", F.size("t").alias("n_tokens"), joined(F.col("t")).alias("tokens"))
 
 
@@ -117,7 +97,7 @@ def token_len_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("token_freq", f"SELECT token, count(*) AS n FROM (SELECT unnest({S.tokens(S.basic('text'))}) AS token FROM documents) GROUP BY token")
 def token_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select(F.explode(T.regex_tokens(T.basic(F.col("text")))).alias("token"))
+    rows = documents(spark, sf_dir).select(F.explode(T.regex_tokens(T.basic(F.col("text")))).alias("token"))
     return rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -136,7 +116,7 @@ def number_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("valid_sentences_top10", f"WITH {S.SENTENCES} SELECT doc_id, sent_idx::INTEGER AS sent_idx, len(t)::INTEGER AS n_tokens, array_to_string(t, ' ') AS tokens FROM kept")
 def valid_sentences_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.inline(valid_sentences(F.col("text"), CONFIG)))
+    rows = documents(spark, sf_dir).select("doc_id", F.inline(valid_sentences(F.col("text"), CONFIG)))
     return rows.select("doc_id", "sent_idx", F.size("tokens").alias("n_tokens"), joined(F.col("tokens")).alias("tokens"))
 
 
@@ -231,11 +211,11 @@ def processed_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "vocab_semi",
     f"""WITH t AS (SELECT unnest({S.tokens(S.basic('text'))}) AS token FROM documents), v AS (SELECT DISTINCT unnest({S.tokens(S.basic('text'))}) AS word FROM benchmark)
-SELECT token, count(*) AS n FROM t WHERE token IN (SELECT word FROM v WHERE length(word) > 2 OR word IN ('in', 'of', 'to', 'i', 'a')) GROUP BY token""",
+SELECT token, count(*) AS n FROM t WHERE token IN (SELECT word FROM v WHERE length(word) > 2 OR word IN ({S.SHORT_WORDS})) GROUP BY token""",
 )
 def vocab_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "benchmark").select(F.explode(T.regex_tokens(T.basic(F.col("text")))).alias("word"))
-    words = words.where((F.length("word") > 2) | (keep_word(F.col("word")) & F.col("word").isin("in", "of", "to", "i", "a")))
+    words = words.where(keep_word(F.col("word")))
     # counted first: what meets the vocabulary is one row a distinct token
     return in_vocabulary(token_freq(spark, sf_dir), words)
 
@@ -307,9 +287,9 @@ def embedding_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.misses(words, cache)
 
 
-@query("embedding_fill", f"SELECT count(DISTINCT token) AS n_words, count(DISTINCT token) AS n_cached, 64 AS dim FROM (SELECT unnest({S.tokens(S.basic('text'))}) AS token FROM benchmark)")
+@query("embedding_fill", f"SELECT count(DISTINCT token) AS n_words, count(DISTINCT token) AS n_cached, 64 AS dim FROM (SELECT unnest({S.tokens(S.basic('text'))}) AS token FROM documents)")
 def embedding_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = table(spark, sf_dir, "benchmark").select(F.explode(T.regex_tokens(T.basic(F.col("text")))).alias("word"))
+    words = documents(spark, sf_dir).select(F.explode(T.regex_tokens(T.basic(F.col("text")))).alias("word")).distinct()
     path = scratch_path(spark, "embedding-cache")
     cache = embed.EmbeddingCache(spark, "embedding_cache_" + path.rsplit("-", 1)[-1], path, 4)
     for _ in range(2):  # the second time finds nothing to do
@@ -380,7 +360,7 @@ def shard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sized_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups whose trees are the kept sentences' token lists; only their number matters here."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", valid_sentences(F.col("text"), CONFIG).alias("k"))
+    docs = documents(spark, sf_dir, "doc_id", "source", "text").select("doc_id", "source", valid_sentences(F.col("text"), CONFIG).alias("k"))
     return docs.select("doc_id", "source", F.coalesce(F.transform("k", lambda s: s["sent_idx"]), F.array().cast("array<int>")).alias("trees"), F.array().cast("array<int>").alias("trees_b"))
 
 
@@ -465,12 +445,23 @@ def tree_remove_child(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _kept_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.inline(valid_sentences(F.col("text"), CONFIG)))
+    return documents(spark, sf_dir).select("doc_id", F.inline(valid_sentences(F.col("text"), CONFIG)))
+
+
+def _parsed_nodes(spark: SparkSession, sf_dir: str, parsers: list[str], sources: dict[str, str]) -> DataFrame:
+    """(doc_id, sent_idx, fields of a node) of the kept sentences' trees; a document's are parsed together."""
+    rows = documents(spark, sf_dir).select("doc_id", valid_sentences(F.col("text"), CONFIG).alias("k"))
+    rows = rows.select("doc_id", F.transform("k", lambda x: x["sent_idx"]).alias("at"), F.transform("k", lambda x: x["tokens"]).alias("tokens"))
+    p = CONFIG.parser
+    parsed = with_parsed(rows, {"trees": "tokens"}, {n: BACKENDS[n].flat_loader() for n in parsers}, sources, p.min_nodes, p.max_nodes, graphs=False)
+    # both built-in parsers make a tree of every sentence that is kept
+    trees = parsed.select("doc_id", F.inline(F.arrays_zip(F.col("at").alias("sent_idx"), F.col("trees").alias("tree"))))
+    return trees.select("doc_id", "sent_idx", F.inline("tree.nodes"))
 
 
 @query("rule_tree_edges", f"WITH {S.SENTENCES}, {S.RULE_NODES} SELECT doc_id, sent_idx::INTEGER AS sent_idx, idx::INTEGER AS idx, head::INTEGER AS head, pos, rel FROM headed")
 def rule_tree_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _kept_tokens(spark, sf_dir).select("doc_id", "sent_idx", F.inline(parse_sentence(F.col("tokens"), ["rules"], CONFIG.parser.sources)))
+    rows = _parsed_nodes(spark, sf_dir, ["rules"], CONFIG.parser.sources)
     return rows.select("doc_id", "sent_idx", "idx", "head", "pos", "rel")
 
 
@@ -487,7 +478,7 @@ CASE pos WHEN 'NOUN' THEN 1 WHEN 'VERB' THEN 2 ELSE 0 END AS n_morph FROM headed
 )
 def multi_parser_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = {"tree": "chain", "deps": "chain", "pos_tags": "rules", "lemmas": "rules", "morph": "rules"}
-    rows = _kept_tokens(spark, sf_dir).select("doc_id", "sent_idx", F.inline(parse_sentence(F.col("tokens"), ["chain", "rules"], sources)))
+    rows = _parsed_nodes(spark, sf_dir, ["chain", "rules"], sources)
     return rows.select("doc_id", "sent_idx", "idx", "head", "pos", "rel", F.size("morph").alias("n_morph"))
 
 
@@ -507,67 +498,112 @@ def conll_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with the labels' quality, and a benchmark passage as second text for every tenth."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
-    return project_pairs(rows, "doc_id", "text", None, "quality")
+    """Documents with the labels' quality; every tenth has a benchmark passage as second text, as far as there are any."""
+    docs = documents(spark, sf_dir)
+    passages = table(spark, sf_dir, "benchmark").select((F.col("item_id") * 10).alias("doc_id"), F.col("text").alias("passage"))
+    rows = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left").join(passages, "doc_id", "left")
+    return project_pairs(rows, "doc_id", "text", "passage", "quality")
+
+
+#: As SENTENCES and RULE_NODES, with both texts of _pairs: doc_id is doubled, and one more for the second text.
+_BOTH = f"""RECURSIVE texts AS (SELECT doc_id * 2 AS doc_id, text FROM documents UNION ALL SELECT item_id * 20 + 1, b.text FROM benchmark b WHERE item_id * 10 IN (SELECT doc_id FROM documents)),
+{S.SENTENCES.replace("FROM documents", "FROM texts")}, {S.RULE_NODES}"""
+_GRAPHS = f"""{_BOTH}, walk AS (SELECT doc_id, sent_idx, idx, [idx] AS path FROM headed WHERE head = 0
+  UNION ALL SELECT h.doc_id, h.sent_idx, h.idx, list_append(w.path, h.idx) FROM headed h JOIN walk w ON h.doc_id = w.doc_id AND h.sent_idx = w.sent_idx AND h.head = w.idx),
+placed AS (SELECT doc_id, sent_idx, idx, row_number() OVER (PARTITION BY doc_id, sent_idx ORDER BY path) - 1 AS place FROM walk),
+graph_nodes AS (SELECT h.*, p.place, u.place AS up FROM headed h JOIN placed p USING (doc_id, sent_idx, idx) LEFT JOIN placed u ON u.doc_id = h.doc_id AND u.sent_idx = h.sent_idx AND u.idx = h.head),
+features AS (SELECT *, {S.one_hot("pos", POS)} || CASE pos WHEN 'NOUN' THEN '10' || repeat('01', 8) WHEN 'VERB' THEN '01011010' || repeat('01', 5) ELSE repeat('01', 9) END AS bits, {S.one_hot("rel", DEPENDENCIES)} AS edge FROM graph_nodes),
+numbered AS (SELECT doc_id, sent_idx, (rn - 1)::INTEGER AS tree FROM kept)"""
+
+
+def _bits_of(vectors: Column) -> Column:
+    return F.array_join(F.transform(vectors, _bits), ",")
 
 
 @query(
     "dataset_groups",
-    f"""WITH {S.SENTENCES}, g AS (SELECT doc_id, count(*) AS trees, sum(len(t)) AS nodes FROM kept GROUP BY doc_id)
-SELECT g.doc_id::VARCHAR AS group_id, coalesce(quality::VARCHAR, '1') AS label, trees::INTEGER AS n_trees, nodes::INTEGER AS n_nodes, (nodes - trees)::INTEGER AS n_edges, 36 AS node_dim, 70 AS edge_dim FROM g LEFT JOIN labels USING (doc_id)""",
+    f"""WITH {_BOTH}, g AS (SELECT doc_id // 2 AS d, doc_id % 2 AS side, count(*) AS trees, sum(len(t)) AS nodes FROM kept GROUP BY 1, 2)
+SELECT a.d::VARCHAR AS group_id, coalesce(quality::VARCHAR, '1') AS label, a.trees::INTEGER AS n_trees, a.nodes::INTEGER AS n_nodes, (a.nodes - a.trees)::INTEGER AS n_edges,
+coalesce(b.trees, 0)::INTEGER AS n_trees_b, coalesce(b.nodes, 0)::INTEGER AS n_nodes_b, d.text, coalesce(p.text, '') AS text_b
+FROM g a JOIN documents d ON d.doc_id = a.d LEFT JOIN g b ON b.d = a.d AND b.side = 1 LEFT JOIN labels l ON l.doc_id = a.d LEFT JOIN benchmark p ON p.item_id * 10 = a.d WHERE a.side = 0""",
 )
 def dataset_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = build_dataset(_pairs(spark, sf_dir), CONFIG)
-    total = lambda name: F.aggregate("trees", F.lit(0), lambda a, t: a + F.size(t[name]))
-    first = F.get("trees", F.lit(0))
+    total = lambda trees, name: F.aggregate(trees, F.lit(0), lambda a, t: a + F.size(t[name]))
     return groups.select(
-        "group_id", "label", F.size("trees").alias("n_trees"), total("node_features").alias("n_nodes"), total("to_idx").alias("n_edges"),
-        F.size(F.get(first["node_features"], F.lit(0))).alias("node_dim"), F.size(F.get(first["edge_features"], F.lit(0))).alias("edge_dim"),
+        "group_id", "label", F.size("trees").alias("n_trees"), total("trees", "node_features").alias("n_nodes"), total("trees", "to_idx").alias("n_edges"),
+        F.size("trees_b").alias("n_trees_b"), total("trees_b", "node_features").alias("n_nodes_b"), "text", "text_b",
     )
 
 
 @query(
     "graph_edges",
-    f"""WITH {S.SENTENCES}, {S.RULE_NODES} SELECT h.doc_id::VARCHAR AS group_id, (k.rn - 1)::INTEGER AS tree, count(*)::INTEGER AS n_edges, string_agg(h.rel, ' ' ORDER BY h.rel) AS rels
-FROM headed h JOIN kept k ON h.doc_id = k.doc_id AND h.sent_idx = k.sent_idx WHERE h.head > 0 GROUP BY h.doc_id, k.rn""",
+    f"""WITH {_GRAPHS} SELECT (f.doc_id // 2)::VARCHAR AS group_id, (f.doc_id % 2)::INTEGER AS side, tree,
+string_agg(word, ' ' ORDER BY place) AS words, string_agg(bits, ',' ORDER BY place) AS node_features,
+coalesce(string_agg(up::VARCHAR, ',' ORDER BY up, place) FILTER (head > 0), '') AS from_idx, coalesce(string_agg(place::VARCHAR, ',' ORDER BY up, place) FILTER (head > 0), '') AS to_idx,
+coalesce(string_agg(edge, ',' ORDER BY up, place) FILTER (head > 0), '') AS edge_features
+FROM features f JOIN numbered USING (doc_id, sent_idx) WHERE f.doc_id // 2 IN (SELECT doc_id // 2 FROM kept WHERE doc_id % 2 = 0) GROUP BY f.doc_id, f.sent_idx, tree""",
 )
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = parse_pairs(_pairs(spark, sf_dir), CONFIG).select("group_id", F.posexplode("trees").alias("tree", "t"))
-    edges = R.edges(F.col("t.nodes"))
-    return rows.select("group_id", "tree", edges.alias("e")).select("group_id", "tree", F.size("e").alias("n_edges"), F.array_join(F.array_sort(F.transform("e", lambda x: x["rel"])), " ").alias("rels"))
+    """Each graph of both sides in full: words, node features, edges and their features."""
+    groups = build_dataset(_pairs(spark, sf_dir), CONFIG).select("group_id", F.posexplode(F.array("trees", "trees_b")).alias("side", "graphs"))
+    g = F.col("g")
+    return groups.select("group_id", "side", F.posexplode("graphs").alias("tree", "g")).select(
+        "group_id", "side", "tree", F.array_join(F.transform(g["node_texts"], lambda t: t["word"]), " ").alias("words"), _bits_of(g["node_features"]).alias("node_features"),
+        joined(g["from_idx"], ",").alias("from_idx"), joined(g["to_idx"], ",").alias("to_idx"), _bits_of(g["edge_features"]).alias("edge_features"),
+    )
+
+
+def _letters(words: list[str]) -> list[list[float]]:
+    """An encoder that SQL can restate: a word's length, its first and its last character."""
+    return [[float(len(w)), float(ord(w[0])), float(ord(w[-1]))] for w in words]
+
+
+def _document_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_dataset(project_pairs(documents(spark, sf_dir), "doc_id", "text"), CONFIG)
 
 
-@query("embedded_graphs", f"WITH {S.SENTENCES} SELECT item::VARCHAR AS group_id, sum(len(t))::INTEGER AS n_nodes, 44 AS dim FROM (SELECT doc_id AS item, t FROM kept) GROUP BY item".replace("FROM documents", "FROM (SELECT item_id AS doc_id, text FROM benchmark)"))
+@query(
+    "embedded_graphs",
+    f"""WITH {S.SENTENCES}, w AS (SELECT doc_id, unnest(t) AS word FROM kept)
+SELECT doc_id::VARCHAR AS group_id, count(*)::INTEGER AS n_nodes, 39 AS dim, sum(length(word))::BIGINT AS lengths, sum(unicode(word))::BIGINT AS firsts, sum(unicode(right(word, 1)))::BIGINT AS lasts FROM w GROUP BY doc_id""",
+)
 def embedded_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = materialize(build_dataset(project_pairs(table(spark, sf_dir, "benchmark"), "item_id", "text"), CONFIG), "groups")
+    """Vectors in front of the features of each word's own node; the sums show that none went astray."""
+    groups = materialize(_document_groups(spark, sf_dir), "groups")
     words = groups.select(F.explode("trees").alias("t")).select(F.explode("t.node_texts").alias("n")).select("n.word").distinct()
-    cache = materialize(embed.encode(words, embed.hash_encoder(8)), "cache")
-    out = embed.prepend_embeddings(groups, cache)
-    return out.select("group_id", F.aggregate("trees", F.lit(0), lambda a, t: a + F.size(t["node_features"])).alias("n_nodes"), F.size(F.get(F.get("trees", F.lit(0))["node_features"], F.lit(0))).alias("dim"))
+    cache = materialize(embed.encode(words, _letters), "cache")
+    features = F.flatten(F.transform("trees", lambda t: t["node_features"]))
+    out = embed.prepend_embeddings(groups, cache).select("group_id", features.alias("f"))
+    total = lambda k: F.aggregate("f", F.lit(0).cast("bigint"), lambda a, v: a + v[k].cast("bigint"))
+    return out.select("group_id", F.size("f").alias("n_nodes"), F.size(F.get("f", F.lit(0))).alias("dim"), total(0).alias("lengths"), total(1).alias("firsts"), total(2).alias("lasts"))
 
 
-@query("group_documents", f"WITH {S.SENTENCES} SELECT doc_id % 4 AS part, count(DISTINCT doc_id) AS n_groups, count(*) AS n_trees FROM (SELECT doc_id FROM kept) GROUP BY doc_id % 4".replace("FROM documents", "FROM (SELECT item_id AS doc_id, text FROM benchmark)"))
+@query(
+    "group_documents",
+    f"""WITH {S.SENTENCES} SELECT (doc_id % 16)::BIGINT AS part, k.doc_id::VARCHAR AS group_id, d.text, '1' AS label, count(*)::INTEGER AS n_trees, sum(len(t))::BIGINT AS n_nodes, arg_min(array_to_string(t, ' '), sent_idx) AS first_tree
+FROM kept k JOIN documents d USING (doc_id) GROUP BY k.doc_id, d.text""",
+)
 def group_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written as JSON documents with header and read back."""
-    groups = build_dataset(project_pairs(table(spark, sf_dir, "benchmark"), "item_id", "text"), CONFIG)
     path = scratch_path(spark, "documents")
-    write_documents(groups.withColumn("ordinal", F.col("group_id").cast("long")).withColumn("part", F.col("ordinal") % 4), path, "part", "ordinal")
-    rows, _ = read_group_documents(spark, path)
+    groups = _document_groups(spark, sf_dir)
+    write_documents(groups.withColumn("ordinal", F.col("group_id").cast("long")).withColumn("part", F.col("ordinal") % 16), path, "part", "ordinal")
+    rows, _ = read_group_documents(spark, path, GROUP)
     part = F.regexp_extract("src_file", r"part=(\d+)", 1).cast("long")
-    return rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_groups"), F.sum(F.size("trees")).alias("n_trees"))
+    nodes = F.aggregate("trees", F.lit(0).cast("bigint"), lambda a, t: a + F.size(t["node_features"]))
+    return rows.select(part.alias("part"), "group_id", "text", "label", F.size("trees").alias("n_trees"), nodes.alias("n_nodes"), F.get("trees", F.lit(0))["text"].alias("first_tree"))
 
 
-@query("streaming_ingest", "SELECT coalesce(quality::VARCHAR, '1') AS label, count(*) AS n FROM labels RIGHT JOIN benchmark ON doc_id = item_id GROUP BY 1")
+@query("streaming_ingest", f"WITH {S.SENTENCES} SELECT d.doc_id::VARCHAR AS group_id, coalesce(quality::VARCHAR, '1') AS label, n::INTEGER AS n_trees FROM (SELECT doc_id, count(*) AS n FROM kept GROUP BY doc_id) d LEFT JOIN labels USING (doc_id)")
 def streaming_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files taken up as a stream, twice; the second run adds nothing."""
-    passages = table(spark, sf_dir, "benchmark").join(table(spark, sf_dir, "labels"), F.col("item_id") == F.col("doc_id"), "left")
+    rows = documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "left")
     base = scratch_path(spark, "ingest")
-    project_pairs(passages, "item_id", "text", None, "quality").write.parquet(f"{base}/in")
+    project_pairs(rows, "doc_id", "text", None, "quality").write.parquet(f"{base}/in")
     for _ in range(2):
         ingest(spark, f"{base}/in", f"{base}/out", CONFIG, f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/out").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(f"{base}/out").select("group_id", "label", F.size("trees").alias("n_trees"))
 
 
 # -- files ------------------------------------------------------------------------------------------
@@ -617,32 +653,6 @@ def source_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- without SQL -----------------------------------------------------------------------------------------
 
 
-def _vocabularies(spark: SparkSession, sf_dir: str) -> list[set[str]]:
-    """Two word sets: of the names of parts, and the benchmark's short words. Both tables are bounded."""
-    found = []
-    for name, column in (("part", "p_name"), ("benchmark", "text")):
-        words = table(spark, sf_dir, name).select(F.explode(T.regex_tokens(F.lower(F.col(column)), 1, 4)).alias("w")).where(keep_word(F.col("w"))).distinct()
-        found.append({r["w"] for r in words.orderBy("w").limit(500_000).collect()})
-    return found
-
-
-def _unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = table(spark, sf_dir, "documents").select(F.explode(T.regex_tokens(T.basic(F.col("text")))).alias("token"))
-    return tokens.where(needs_split(F.col("token"), F.lit(False)))
-
-
-@query("subword_dp")
-def subword_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = segment_words(_unknown(spark, sf_dir), _vocabularies(spark, sf_dir))
-    return out.select("token", joined(F.col("parts")).alias("parts"))
-
-
-@query("subword_greedy")
-def subword_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = segment_words(_unknown(spark, sf_dir), _vocabularies(spark, sf_dir), greedy_only=True)
-    return out.select("token", joined(F.col("parts")).alias("parts"))
-
-
 @query("tree_text_viz")
 def tree_text_viz(spark: SparkSession, sf_dir: str) -> DataFrame:
     trees = _heap_trees(spark, sf_dir)

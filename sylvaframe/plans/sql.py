@@ -7,6 +7,7 @@ and whose other characters are Latin letters.
 
 from __future__ import annotations
 
+from ..functions.subword import SHORT_WORDS as _SHORT
 from ..operators.parse import ADPOSITIONS, CONJUNCTIONS, DETERMINERS, PRONOUNS
 
 WORD = r"[\p{L}\p{N}_]"
@@ -80,6 +81,17 @@ def tag(w: str) -> str:
     )
 
 
+#: Of one and two letters.
+SHORT_WORDS = _in(sorted(_SHORT))
+
+
+def one_hot(x: str, names: tuple[str, ...]) -> str:
+    """Zeros and a one, as a string; the last place is for values that aren't listed."""
+    listed = "[" + ", ".join(f"'{n}'" for n in names) + "]"
+    place = f"coalesce(nullif(list_position({listed}, {x}), 0) - 1, {len(names)})"
+    return f"repeat('0', {place}) || '1' || repeat('0', {len(names)} - {place})"
+
+
 #: One row a node of the rule parser's trees over the kept sentences.
 RULE_NODES = f"""
 tagged AS (SELECT doc_id, sent_idx, t, list_transform(t, lambda w: {tag("w")}) AS tags FROM kept),

@@ -89,6 +89,22 @@ def materialize_bucketed(df: DataFrame, label: str, key: str) -> DataFrame:
     return back
 
 
+#: What a task is given of a table that is scanned for heavy work per byte.
+BYTES_PER_TASK = 32 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for plans that are bound by the processor.
+
+    A file with one row group is read by one task whatever its size in bytes, so
+    what is too small to fill the cores is dealt out by a shuffle. A table that
+    fills them is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores * 2) if size < cores * BYTES_PER_TASK else df
+
+
 def small_side(df: DataFrame, rows: int, row_bytes: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast when ``rows * row_bytes`` is within ``limit``.
 

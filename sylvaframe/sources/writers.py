@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.sharding import shard_file_name
 from ..schemas import DOCUMENT_VERSION
 
 
@@ -50,3 +54,68 @@ def write_shards(sharded: DataFrame, path: str, fmt: str = "json", mode: str = "
 def write_text_shards(sharded: DataFrame, path: str, mode: str = "error") -> None:
     rows = sharded.repartition("split", "shard_index").sortWithinPartitions("split", "shard_index", "ordinal")
     rows.select("split", "shard_index", "value").write.mode(mode).partitionBy("split", "shard_index").text(path)
+
+
+def write_named(files: DataFrame) -> DataFrame:
+    """Writes each (path, value) row to a file of that very name, and gives the paths.
+
+    A task that is run again writes the same bytes under the same names. A file
+    is moved to its name once it is whole.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import uuid
+
+        from pyarrow import fs
+
+        for rows in batches:
+            for path, value in zip(rows["path"], rows["value"]):
+                system, name = fs.FileSystem.from_uri(path)
+                folder, _, last = name.rpartition("/")
+                system.create_dir(folder, recursive=True)
+                part = f"{folder}/.{last}.{uuid.uuid4().hex}"
+                with system.open_output_stream(part) as out:
+                    out.write(value.encode())
+                system.move(part, name)
+            yield rows[["path"]]
+
+    return files.select("path", "value").mapInPandas(run, "path string")
+
+
+def _sizes(name: str) -> Column:
+    return F.transform("g", lambda g: F.size(g[name]))
+
+
+def shard_documents(sharded: DataFrame, path: str, source: str, stem: str = "stem", part: str | None = None) -> DataFrame:
+    """(path, value) of the JSON document of each shard and of its counts.
+
+    ``sharded`` has split, shard_index, ordinal and ``stem``, the source file's
+    name without its ending; the other columns make up a group. A document has
+    the header, the groups in order and a shard_info; the counts lie beside it.
+    A shard is one task's memory, which its size bounds.
+    """
+    names = [c for c in sharded.columns if c not in ("split", "shard_index", "ordinal", stem, part)]
+    keys = ["split", stem, "shard_index"]
+    gathered = sharded.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("ordinal", *names))).alias("g"))
+    bare = F.transform("g", lambda g: F.struct(*[g[n].alias(n) for n in names]))
+    info = F.struct(F.col("shard_index"), F.size("g").alias("groups_in_shard"), F.lit(source).alias("source_name"), F.concat(F.col(stem), F.lit(".json")).alias("source_file"))
+    document = F.struct(*[F.lit(v).alias(k) for k, v in header().items()], bare.alias("groups"), info.alias("shard_info"))
+    sizes = [_sizes(n).alias(f"{n}_per_group") for n in ("trees", "trees_b") if n in names]
+    counts = F.struct(F.size("g").alias("n_groups"), *sizes)
+    file = lambda c: F.concat(F.lit(path.rstrip("/") + "/"), "split", F.lit("/"), shard_file_name(F.col(stem), F.col("shard_index"), c))
+    both = F.array(F.struct(file(False).alias("path"), F.to_json(document).alias("value")), F.struct(file(True).alias("path"), F.to_json(counts).alias("value")))
+    return gathered.select(F.inline(both))
+
+
+def reshard(rows: DataFrame, shard_size: int) -> DataFrame:
+    """``rows`` of many files (src_file, ordinal in it) with split, stem and a shard_index that goes on from file to file.
+
+    Files stand in the order of their names; none shares a shard with another.
+    What moves between tasks for the numbers is one line a file.
+    """
+    shards = rows.groupBy(F.col("src_file").alias("_file")).agg(F.ceil((F.max("ordinal") + 1) / F.lit(shard_size)).alias("_shards"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    placed = shards.select("_file", F.coalesce(F.sum("_shards").over(before), F.lit(0)).alias("_start"))
+    stem = F.regexp_replace(F.element_at(F.split("src_file", "/"), -1), r"\.[^.]*$", "")
+    out = rows.join(placed, F.col("src_file") == F.col("_file"))
+    return out.withColumns({"stem": stem, "shard_index": (F.col("_start") + F.floor(F.col("ordinal") / F.lit(shard_size))).cast("long")}).drop("_file", "_start")
