@@ -3,8 +3,10 @@
 Statistics are built in the JVM; the trees, flattened into arrays, are walked
 by numpy in an Arrow-batched UDF that receives doubles only, never texts.
 
-Defined results: a null text counts as empty. With no labels or one class the
-score is the constant prior. Ties and repeated rows get equal scores.
+Defined results: a null text counts as empty; a very long one is judged by its
+statistics as any other. With no labels or one class the score is the constant
+prior. Ties and repeated rows get equal scores. An empty table gives no rows.
+Columns other than doc_id and text are left out, whatever they are called.
 """
 
 from __future__ import annotations
@@ -30,17 +32,20 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
 
 def score_column(model: BoostedTrees) -> Column:
+    """The score as a column that isn't deterministic to the optimizer, which would else walk the trees, and build the statistics, once more for a filter on it."""
+
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:
         return pd.Series(model.predict(np.column_stack([c.to_numpy() for c in columns])))
 
-    return score(*[F.col(s) for s in STATISTICS])
+    return score.asNondeterministic()(*[F.col(s) for s in STATISTICS])
 
 
 def score_documents(docs: DataFrame, model: BoostedTrees) -> DataFrame:
     """(doc_id, score) of every document; other columns are left out."""
     narrow = pick(docs, "doc_id", "text")
-    return statistics(narrow, F.col("text"), F.col("doc_id")).select("doc_id", score_column(model).alias("score"))
+    judged = statistics(narrow, F.col("text"), F.col("doc_id"))
+    return judged.withColumn("score", score_column(model)).select("doc_id", "score")
 
 
 def classifier_query(spark: SparkSession, sf_dir: str) -> DataFrame:

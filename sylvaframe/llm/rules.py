@@ -7,8 +7,10 @@ it covers leave and the next rule is learned. The list becomes one ordered
 Spark CASE expression, evaluated in the JVM beside the statistics.
 
 Defined results: a null text counts as empty (all statistics 0) and meets the
-same rules as any text. Without usable labels, or with one class, the list is
-empty and every document is kept. Repeated rows and ties get equal decisions.
+same rules as any text, as does a very long one. Without usable labels, or with
+one class, the list is empty and every document is kept. Repeated rows and ties
+get equal decisions. An empty table gives no rows. Extra columns pass through
+unchanged in the stage, clashing names too, and are left out by the query.
 """
 
 from __future__ import annotations

@@ -85,10 +85,11 @@ def statistics(df: DataFrame, text: Column, *keep: Column) -> DataFrame:
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, max_labelled: int, seed: int = 7):
     """Up to ``max_labelled`` rows (statistics, 0/1 target) as a pandas frame.
 
-    The bound is on labels: those with the least hash of (seed, doc_id) are
-    taken, so the same documents are drawn at any partitioning. Labels with a
-    null id or target are left out; of several labels for one document the
-    least counts. A document without a label takes no part.
+    The labels with the least hash of (seed, doc_id) are taken, so the same
+    documents are drawn at any partitioning. Labels with a null id or target are
+    left out; of several labels for one document the least counts. A document
+    without a label takes no part; of several with one id, the text with the
+    least hash does, so that rows are bounded too.
     """
     from ..runtime import pick
 
@@ -102,5 +103,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, max_labelle
     )
     # at most max_labelled rows of 16 bytes, whatever the size of the corpus
     joined = pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    joined = joined.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     frame = statistics(joined, F.col("text"), F.col("doc_id"), F.col("y")).toPandas()
     return frame.sort_values(["doc_id", *STATISTICS], kind="stable").reset_index(drop=True)

@@ -70,3 +70,22 @@ def test_oddities(spark):
     for df, n in ((odd(spark), len(ROWS)), (clashing(spark)[0], len(ROWS)), (empty(spark), 0)):
         out = score_documents(df, model).toPandas()
         assert list(out.columns) == ["doc_id", "score"] and len(out) == n and out["score"].nunique() == min(n, 1)
+
+
+def test_the_trees_are_walked_once(spark):
+    from sylvaframe.llm.classifier import KEEP_FROM, score_documents, train
+
+    from .oddities import odd
+
+    labels = spark.createDataFrame([(1, 1), (6, 0), (8, 0)], "doc_id long, quality int")
+    scored = score_documents(odd(spark), train(odd(spark), labels)).where(f"score >= {KEEP_FROM}")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and plan.count("regexp_count(body, #") + plan.count("[#$%&*^~<>{}") <= 2
+
+
+def test_an_id_that_is_repeated_gives_one_labelled_row(spark):
+    from sylvaframe.llm.stats import labelled_sample
+
+    rows = [(1, f"text {i}") for i in range(500)] + [(2, "other")] * 300 + [(3, None)] * 5
+    frame = labelled_sample(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, 1), (2, 0), (3, 1), (9, 1)], "doc_id long, quality int"), "quality", 10)
+    assert frame["doc_id"].tolist() == [1, 2, 3]
