@@ -4,15 +4,21 @@ Csirik et al.'s rule: with N(h) the number of partially filled windows at level
 h, an item goes where the sum of N(h)^2 after placing it is least. N is the
 level array; full windows leave it. Ties go to the fullest level, a new window
 last. A document longer than the window is cut into full windows and one rest,
-so no token is dropped.
+so no token is dropped. Items are the token ids of a public byte-level BPE, with
+one end-of-document id after each document; the result are the windows with
+their ids.
 
-Documents are dealt to shards by a hash of their id, each shard is packed on its
-own in arrival order (doc_id, then length), and only ids and lengths are
-shuffled. The number of shards follows the number of documents.
+Documents are dealt to shards by a hash of their id and text, and each shard is
+packed on its own in arrival order (doc_id, then length, then text hash). A row
+that is repeated so often that it would fill a shard is dealt out evenly. The
+number of shards follows the documents and characters there are, so that a shard
+is one task's work at any size; windows are the same at any partitioning.
 
 Defined results: a null or empty text still has its end token and so takes one
-slot of length 1; null ids come first in the order; repeated rows are packed as
-often as they occur; an empty table gives no rows; other columns are ignored.
+slot of length 1; null ids come first in the order; a very long text fills
+windows of its own; ties and repeated rows are packed as often as they occur; an
+empty table gives no rows; columns other than doc_id and text are ignored,
+whatever they are called.
 """
 
 from __future__ import annotations
@@ -20,22 +26,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import pick
+from ..runtime import materialize, pick, small_side
+from .token_orc import TOKENIZER, encoded, load_encoding, ranks_of
 
 WINDOW = 2048
 DOCS_PER_SHARD = 20_000
+CHARS_PER_SHARD = 50_000_000
 
-PACK_SCHEMA = "shard long, window long, start int, doc_id long, piece long, n_tokens int"
-
-
-def token_length(text: Column) -> Column:
-    """White-space separated words and one end-of-document token."""
-    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"\s+"), "")
-    return (F.size(words) + 1).cast("long")
+WINDOWS = "shard long, window long, n_tokens int, doc_ids array<long>, pieces array<struct<doc_id:long,piece:long,start:int,n_tokens:int>>, token_ids array<int>"
+_PIECE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int64()), ("start", pa.int32()), ("n_tokens", pa.int32())])
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,38 +73,84 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return window, start
 
 
-def pack(docs: DataFrame, window: int = WINDOW, docs_per_shard: int = DOCS_PER_SHARD) -> DataFrame:
-    """One row for each piece of each document: its shard, window and start there."""
-    narrow = pick(docs, "doc_id", "text").select("doc_id", token_length(F.col("text")).alias("total"))
-    return pack_lengths(narrow, docs.count(), window, docs_per_shard)
-
-
-def pack_lengths(narrow: DataFrame, n_docs: int, window: int = WINDOW, docs_per_shard: int = DOCS_PER_SHARD) -> DataFrame:
-    """As pack, for (doc_id, total) with the token counts already there."""
-    shards = max(1, -(-n_docs // docs_per_shard))
-    dealt = narrow.select(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"), "doc_id", "total")
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True)
-        rows = rows.sort_values(["doc_id", "total"], kind="stable", na_position="first")
-        total, ids = rows["total"].to_numpy(np.int64), rows["doc_id"].astype("Int64")
-        pieces = -(-total // window)
-        at = np.repeat(np.arange(len(total)), pieces)
-        piece = np.arange(len(at)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        length = np.minimum(window, total[at] - piece * window)
-        where, start = place(length, window)
-        for a in range(0, len(at), 50_000):
-            cut = slice(a, a + 50_000)
-            yield pd.DataFrame(
-                {"shard": key[0], "window": where[cut], "start": start[cut], "doc_id": ids.to_numpy()[at[cut]], "piece": piece[cut], "n_tokens": length[cut]}
-            ).astype({"doc_id": "Int64"})
+def with_shards(docs: DataFrame, docs_per_shard: int, chars_per_shard: int) -> tuple[DataFrame, int]:
+    """(doc_id, text, text_hash, shard) and the number of shards."""
+    rows = pick(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    counted = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"), F.max(F.coalesce(F.length("text"), F.lit(0))).alias("chars"))
+    counted = materialize(counted, "packed-rows")
+    n, chars = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * F.col("chars")), F.lit(0))).first()
+    shards = max(1, -(-n // docs_per_shard), -(-chars // chars_per_shard))
+    hot = counted.where((F.col("n") * 4 > docs_per_shard) | (F.col("n") * F.col("chars") * 4 > chars_per_shard) & (F.col("n") > 1))
+    hot = hot.select(F.col("doc_id").alias("hot_id"), F.col("text_hash").alias("hot_hash"), F.lit(True).alias("hot"))
+    match = F.col("doc_id").eqNullSafe(F.col("hot_id")) & (F.col("text_hash") == F.col("hot_hash"))
+    marked = rows.join(small_side(hot, hot.count(), 32), match, "left")
+    # equal rows in turn; which of them goes where makes no difference
+    turn = F.when(F.col("hot"), F.monotonically_increasing_id()).otherwise(0)
+    return marked.select("doc_id", "text", "text_hash", F.pmod(F.xxhash64("doc_id", "text_hash") + turn, F.lit(shards)).alias("shard")), shards
+
+
+def tokens_of(dealt: DataFrame, tokenizer: str) -> DataFrame:
+    """(shard, doc_id, text_hash, ids): token ids with the end of the document."""
+    ranks_file = ranks_of(dealt.sparkSession, tokenizer)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding = load_encoding(ranks_file.value)
+        for batch in batches:
+            ids, _ = encoded(encoding, batch.column(1).to_pylist(), end=True)
+            yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(0), batch.column(2), ids], ["shard", "doc_id", "text_hash", "ids"])
+
+    return dealt.select("doc_id", "text", "text_hash", "shard").mapInArrow(run, "shard long, doc_id long, text_hash long, ids array<int>")
+
+
+def fill(shard: int, doc_id: np.ndarray, null_id: np.ndarray, text_hash: np.ndarray, offsets: np.ndarray, flat: np.ndarray, window: int) -> pa.Table:
+    """The windows of one shard, ``flat`` holding the documents' token ids end to end."""
+    total = np.diff(offsets)
+    order = np.lexsort((text_hash, total, doc_id, ~null_id))
+    pieces = -(-total[order] // window)
+    at = np.repeat(order, pieces)
+    piece = np.arange(len(at)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    length = np.minimum(window, total[at] - piece * window)
+    where, start = place(length, window)
+    by = np.lexsort((start, where))
+    at, piece, length, where, start = at[by], piece[by], length[by], where[by], start[by]
+    ends = np.cumsum(length)
+    source = np.repeat(offsets[at] + piece * window - (ends - length), length) + np.arange(int(length.sum()))
+    windows = int(where[-1]) + 1 if len(where) else 0
+    cuts = np.searchsorted(where, np.arange(windows + 1))
+    token_cuts = np.r_[0, ends][cuts]
+    ids = pa.array(doc_id[at], pa.int64(), mask=null_id[at])
+    parts = pa.StructArray.from_arrays([ids, pa.array(piece, pa.int64()), pa.array(start, pa.int32()), pa.array(length, pa.int32())], fields=list(_PIECE))
+    lists = lambda c, values: pa.ListArray.from_arrays(pa.array(c, pa.int32()), values)
+    columns = {
+        "shard": pa.array(np.full(windows, shard)), "window": pa.array(np.arange(windows)), "n_tokens": pa.array(np.diff(token_cuts), pa.int32()),
+        "doc_ids": lists(cuts, ids), "pieces": lists(cuts, parts), "token_ids": lists(token_cuts, pa.array(flat[source], pa.int32())),
+    }
+    return pa.table(columns)
+
+
+def pack(docs: DataFrame, window: int = WINDOW, docs_per_shard: int = DOCS_PER_SHARD, chars_per_shard: int = CHARS_PER_SHARD, tokenizer: str = TOKENIZER) -> DataFrame:
+    """One row for each window: its shard, its pieces in order with the documents they are of, its token ids."""
+    dealt, shards = with_shards(docs, docs_per_shard, chars_per_shard)
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        ids = rows["ids"].combine_chunks()
+        doc_id = rows["doc_id"].combine_chunks()
+        offsets = ids.offsets.to_numpy().astype(np.int64)
+        flat = ids.values.to_numpy(zero_copy_only=False)
+        null_id = doc_id.is_null().to_numpy(zero_copy_only=False)
+        return fill(key[0].as_py(), doc_id.fill_null(0).to_numpy(), null_id, rows["text_hash"].fill_null(0).to_numpy(), offsets, flat, window)
 
     # a given number of partitions: by bytes alone the planner would join many shards into one task
-    return dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(run, PACK_SCHEMA)
+    return tokens_of(dealt, tokenizer).repartition(shards, "shard").groupBy("shard").applyInArrow(run, WINDOWS)
+
+
+def pieces_of(windows: DataFrame) -> DataFrame:
+    """(shard, window, start, doc_id, piece, n_tokens): one row for each piece of each document."""
+    return windows.select("shard", "window", F.inline("pieces")).select("shard", "window", "start", "doc_id", "piece", "n_tokens")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Last pipeline stage: where each piece of each document goes."""
+    """Last pipeline stage: the training windows."""
     return pack(docs)
 
 

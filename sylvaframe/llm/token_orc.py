@@ -44,21 +44,36 @@ def load_encoding(ranks_file: bytes):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def ranks_of(spark: SparkSession, tokenizer: str):
+    """The vocabulary file, broadcast; its size doesn't depend on the corpus."""
+    with open(tokenizer, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
+
+
+def encoded(encoding, texts: list, end: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """(token ids of each text as a list array, null for null; counts). With ``end`` the id after the last rank closes each text, null ones too."""
+    last = np.array([encoding.max_token_value + 1], np.uint32)
+    ids = [np.empty(0, np.uint32) if t is None else encoding.encode_to_numpy(t, disallowed_special=()) for t in texts]
+    if end:
+        ids = [np.concatenate([x, last]) for x in ids]
+    counts = np.array([len(x) for x in ids], np.int64)
+    offsets = np.r_[0, counts.cumsum()].astype(np.int32)
+    flat = np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32)
+    mask = None if end else pa.array([t is None for t in texts], pa.bool_())
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=mask) if len(ids) else pa.array([], pa.list_(pa.int32()))
+    return lists, counts
+
+
 def tokenize(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, n_tokens, token_ids), sorted by doc_id within each partition."""
-    with open(tokenizer, "rb") as f:
-        ranks_file = docs.sparkSession.sparkContext.broadcast(f.read())
+    ranks_file = ranks_of(docs.sparkSession, tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = load_encoding(ranks_file.value)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            ids = [np.empty(0, np.uint32) if t is None else encoding.encode_to_numpy(t, disallowed_special=()) for t in texts]
-            counts = np.array([len(x) for x in ids], np.int64)
+            lists, counts = encoded(encoding, texts)
             null = np.array([t is None for t in texts], bool)
-            offsets = np.r_[0, counts.cumsum()].astype(np.int32)
-            flat = np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array(null)) if len(ids) else pa.array([], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts.astype(np.int32), mask=null), lists], ["doc_id", "n_tokens", "token_ids"])
 
     return pick(docs, "doc_id", "text").sortWithinPartitions("doc_id").mapInArrow(run, SCHEMA)
@@ -117,11 +132,12 @@ def read_by_stripe(spark: SparkSession, path: str) -> DataFrame:
                 yield from got.cast(pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int32()), ("token_ids", pa.list_(pa.int32()))])).to_batches(2000)
 
     index = stripes(spark, path)
-    return index.repartition(F.col("file"), F.col("stripe")).mapInArrow(run, SCHEMA)
+    # one task for some stripes, as many as the cluster has room for; none moves but the names
+    return index.repartition(spark.sparkContext.defaultParallelism * 4, "file", "stripe").mapInArrow(run, SCHEMA)
 
 
 def token_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as token ids, written as ORC and read back."""
+    """All documents as token ids, written as ORC and read back stripe by stripe."""
     path = scratch_path(spark, "token-orc")
     write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
-    return read_tokens(spark, path)
+    return read_by_stripe(spark, path)

@@ -8,13 +8,14 @@ import pytest
 
 import corpus_pipeline
 from sylvaframe.llm.mixing import WEIGHTS
-from sylvaframe.llm.packing import WINDOW, place
+from sylvaframe.llm.packing import WINDOW, pieces_of, place
 from sylvaframe.llm.rules import covers, learn_from_tables
 from sylvaframe.llm.stats import STATISTICS
 
-from .oddities import SCHEMA, empty, odd
+from .oddities import SCHEMA, clashing, empty, odd
 from .test_cpsjoin import exact_groups
 from .test_mixing import brute_mix
+from .test_packing import ids_of
 from .test_rules import plain_statistics
 
 SF = "/root/testdata/sf0.001"
@@ -38,7 +39,7 @@ def brute(spark, sf_dir):
     copies = brute_mix(docs, WEIGHTS)
     docs = [d for d in docs for _ in range(copies[(d[0], d[3])])]
     steps.append(docs)
-    items = sorted((d[0], len(d[1].split()) + 1) for d in docs)
+    items = sorted((d[0], len(ids_of(d[1]))) for d in docs)
     pieces = [(i, k, min(WINDOW, n - k * WINDOW)) for i, n in items for k in range(-(-n // WINDOW))]
     window, start = place(np.array([n for *_, n in pieces]), WINDOW)
     return steps, sorted((0, int(w), int(s), i, k, n) for (i, k, n), w, s in zip(pieces, window, start))
@@ -52,16 +53,21 @@ def test_run_and_every_stage_match_brute_force(spark):
         assert out.columns == docs.columns, name
         assert Counter(r["doc_id"] for r in out.collect()) == Counter(d[0] for d in want), name
         docs = corpus_pipeline.materialize(out, "stage")
-    assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == packed
+    assert sorted(map(tuple, pieces_of(corpus_pipeline.run(spark, SF)).collect())) == packed
 
 
-@pytest.mark.parametrize("make", [odd, empty])
+@pytest.mark.parametrize("make", [odd, empty, lambda spark: clashing(spark)[0]])
 def test_odd_and_empty_tables(spark, tmp_path, make):
     make(spark).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path))
-    assert out.columns == ["shard", "window", "start", "doc_id", "piece", "n_tokens"]
+    assert out.columns == ["shard", "window", "n_tokens", "doc_ids", "pieces", "token_ids"]
     assert (out.count() == 0) == (make is empty)
+    if make not in (odd, empty):
+        make_odd = tmp_path / "odd"
+        odd(spark).write.parquet(f"{make_odd}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{make_odd}/labels.parquet")
+        assert pieces_of(corpus_pipeline.run(spark, str(make_odd))).count() == pieces_of(out).count()
 
 
 def test_stages_are_the_five_in_order():
