@@ -1,6 +1,6 @@
 import hashlib
 
-from sylvaframe.llm.digest_index import DigestIndex, digest_of, drop_copies
+from sylvaframe.llm.digest_index import DigestIndex, digest_of, drop_copies, sorted_scans
 from sylvaframe.runtime import scratch_path
 from pyspark.sql import functions as F
 
@@ -30,8 +30,11 @@ def test_index_side_is_neither_shuffled_nor_unsorted(spark):
     ix = index(spark, buckets=4)
     drop_copies(ix, docs(spark, [(i, f"t{i}") for i in range(100)]))
     heads = docs(spark, [(1, "t1")]).select(digest_of(F.col("text")).alias("digest"), "doc_id")
-    plan = ix.unseen(heads)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    drop_copies(ix, docs(spark, [(200 + i, f"u{i}") for i in range(50)]))
+    with sorted_scans(spark):
+        plan = ix.unseen(heads)._jdf.queryExecution().executedPlan().toString()
+    # two runs: the heads are shuffled and sorted once, the runs neither
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
 
 
 def test_digest(spark):
