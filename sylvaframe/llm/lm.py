@@ -15,20 +15,24 @@ p(word) = p(bucket) n(word) / n(bucket).
 Over the corpus this takes three passes, each over all documents:
 1. words are counted, by part of the corpus and in all;
 2. each partition trains from the same start on all its documents, and the
-   parameters are averaged by words seen, piece by piece, in two levels, so that
-   no task reads more than FAN_IN pieces of them;
+   parameters are averaged by words seen, piece by piece, in as many levels as it
+   takes for no task to read more than FAN_IN pieces of them;
 3. each document is scored; a task reads the counts of its own part's rare words.
 Only the averaged model, which grows as the vocabulary, comes to the driver.
 
 Defined results: a null or empty text has its end as the only word; repeated rows
 get equal scores; an empty table trains nothing and gives no rows; columns other
-than doc_id and text are left out. Ties in word counts go by the word.
+than doc_id and text are left out, whatever they are called. Ties in word counts
+go by the word. A very long text is scored whole, in a lane of its own; its words
+are ids once they are read, a slice at a time. The model depends on how the
+documents lie in partitions, as each trains on its own.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -53,6 +57,8 @@ LANES = 256
 RATE = 0.01
 #: Words that a task buffers before it works on them.
 BUFFER_WORDS = 6_000_000
+#: Characters of a text that are cut into words together.
+SLICE = 1_000_000
 FAN_IN = 256
 #: Parameters that are averaged together.
 PIECE = 1 << 16
@@ -75,6 +81,24 @@ def bucket_of(ending: str) -> int:
     return xxhash.xxh32_intdigest(ending) % UNKNOWN
 
 
+_SPACE = re.compile(r"\s")
+
+
+def words_of(text: str | None) -> Iterator[list[str]]:
+    """The text's words, some at a time: a very long text's are never all held as strings."""
+    if not text:
+        return
+    if len(text) <= SLICE:
+        yield text.split()
+        return
+    at = 0
+    while at < len(text):
+        space = _SPACE.search(text, at + SLICE)
+        end = space.start() if space else len(text)
+        yield text[at:end].split()
+        at = end
+
+
 class _Buckets(dict):
     """Word ending to the id of its bucket of unknown words."""
 
@@ -102,11 +126,8 @@ class WordIds(dict):
         return self.buckets[word[-3:]]
 
     def encode(self, text: str | None) -> np.ndarray:
-        words = text.split() if text else []
-        out = np.empty(len(words) + 1, self.kind)
-        out[:-1] = np.fromiter(map(self.__getitem__, words), self.kind, len(words))
-        out[-1] = self.end
-        return out
+        parts = [np.fromiter(map(self.__getitem__, words), self.kind, len(words)) for words in words_of(text)]
+        return np.concatenate([*parts, np.array([self.end], self.kind)])
 
 
 class Shares(dict):
@@ -123,9 +144,12 @@ class Shares(dict):
         self.share[known:] = np.log(n / counts[self.ids[known:]])
 
     def encode(self, text: str | None) -> tuple[np.ndarray, float]:
-        words = text.split() if text else []
-        at = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-        return np.append(self.ids[at], self.kind(self.end)), float(self.share[at].sum())
+        parts, share = [], 0.0
+        for words in words_of(text):
+            at = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+            parts.append(self.ids[at])
+            share += float(self.share[at].sum())
+        return np.concatenate([*parts, np.array([self.end], self.kind)]), share
 
 
 def start_parameters(counts: np.ndarray, seed: int = SEED) -> dict[str, np.ndarray]:
@@ -457,8 +481,8 @@ def count_words(parts: DataFrame) -> DataFrame:
                     yield sums()
                     counts = Counter()
                 at = part
-                if text:
-                    counts.update(text.split())
+                for words in words_of(text):
+                    counts.update(words)
         if counts:
             yield sums()
 
@@ -566,8 +590,12 @@ def train(docs: DataFrame, words: list[str], counts: np.ndarray) -> dict[str, np
 
     schema = "name string, at long, part int, seen long, values array<float>"
     local = pick(docs, "text").mapInPandas(run, schema)
-    partial = local.groupBy("name", "at", F.floor(F.col("part") / FAN_IN)).applyInPandas(mean, schema)
-    merged = {(r["name"], r["at"]): r["values"] for r in partial.groupBy("name", "at").applyInPandas(mean, schema).collect()}
+    partitions = docs.rdd.getNumPartitions()  # planned, not run
+    span = FAN_IN
+    while span < partitions:
+        local = local.groupBy("name", "at", F.floor(F.col("part") / span)).applyInPandas(mean, schema)
+        span *= FAN_IN
+    merged = {(r["name"], r["at"]): r["values"] for r in local.groupBy("name", "at").applyInPandas(mean, schema).collect()}
     if not merged:
         return start
     return {k: np.concatenate([np.array(merged[k, at], np.float32) for at in range(0, v.size, PIECE)]).reshape(v.shape) for k, v in start.items()}
@@ -587,7 +615,8 @@ def score(docs: DataFrame, words: list[str], parameters: dict[str, np.ndarray],
         model, ids = GRU(parameters), WordIds(words)
         for rows, docs in buffered(by_shares(ids, rare, counts) if rare else by_ids(ids), batches):
             length = np.array([len(d) for d in docs])
-            lanes = int(np.clip(1.5 * length.sum() / length.max(), 16, LANES))
+            # as many lanes as fill up with the longest text in one: it costs no other lanes' room
+            lanes = int(np.clip(1.5 * length.sum() / length.max(), 1, LANES))
             logp = model.run(docs, lanes, learn=False)
             if rare:
                 logp += rows["share"].to_numpy()
