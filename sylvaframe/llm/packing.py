@@ -35,7 +35,10 @@ from .token_orc import TOKENIZER, encoded, load_encoding, ranks_of
 
 WINDOW = 2048
 DOCS_PER_SHARD = 20_000
-CHARS_PER_SHARD = 50_000_000
+#: A task holds a shard's token ids a few times over.
+CHARS_PER_SHARD = 12_000_000
+#: Windows that leave a task together.
+CHUNK = 500
 
 WINDOWS = "shard long, window long, n_tokens int, doc_ids array<long>, pieces array<struct<doc_id:long,piece:long,start:int,n_tokens:int>>, token_ids array<int>"
 _PIECE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int64()), ("start", pa.int32()), ("n_tokens", pa.int32())])
@@ -102,8 +105,8 @@ def tokens_of(dealt: DataFrame, tokenizer: str) -> DataFrame:
     return dealt.select("doc_id", "text", "text_hash", "shard").mapInArrow(run, "shard long, doc_id long, text_hash long, ids array<int>")
 
 
-def fill(shard: int, doc_id: np.ndarray, null_id: np.ndarray, text_hash: np.ndarray, offsets: np.ndarray, flat: np.ndarray, window: int) -> pa.Table:
-    """The windows of one shard, ``flat`` holding the documents' token ids end to end."""
+def fill(shard: int, doc_id: np.ndarray, null_id: np.ndarray, text_hash: np.ndarray, offsets: np.ndarray, flat: np.ndarray, window: int) -> Iterator[pa.RecordBatch]:
+    """The windows of one shard, some at a time; ``flat`` holds the documents' token ids end to end."""
     total = np.diff(offsets)
     order = np.lexsort((text_hash, total, doc_id, ~null_id))
     pieces = -(-total[order] // window)
@@ -113,32 +116,41 @@ def fill(shard: int, doc_id: np.ndarray, null_id: np.ndarray, text_hash: np.ndar
     where, start = place(length, window)
     by = np.lexsort((start, where))
     at, piece, length, where, start = at[by], piece[by], length[by], where[by], start[by]
-    ends = np.cumsum(length)
-    source = np.repeat(offsets[at] + piece * window - (ends - length), length) + np.arange(int(length.sum()))
     windows = int(where[-1]) + 1 if len(where) else 0
-    cuts = np.searchsorted(where, np.arange(windows + 1))
-    token_cuts = np.r_[0, ends][cuts]
-    ids = pa.array(doc_id[at], pa.int64(), mask=null_id[at])
-    parts = pa.StructArray.from_arrays([ids, pa.array(piece, pa.int64()), pa.array(start, pa.int32()), pa.array(length, pa.int32())], fields=list(_PIECE))
     lists = lambda c, values: pa.ListArray.from_arrays(pa.array(c, pa.int32()), values)
-    columns = {
-        "shard": pa.array(np.full(windows, shard)), "window": pa.array(np.arange(windows)), "n_tokens": pa.array(np.diff(token_cuts), pa.int32()),
-        "doc_ids": lists(cuts, ids), "pieces": lists(cuts, parts), "token_ids": lists(token_cuts, pa.array(flat[source], pa.int32())),
-    }
-    return pa.table(columns)
+    for w in range(0, windows, CHUNK):
+        upto = min(windows, w + CHUNK)
+        cuts = np.searchsorted(where, np.arange(w, upto + 1))
+        a, b = cuts[0], cuts[-1]
+        ends = np.cumsum(length[a:b])
+        source = np.repeat(offsets[at[a:b]] + piece[a:b] * window - (ends - length[a:b]), length[a:b]) + np.arange(int(ends[-1]))
+        token_cuts = np.r_[0, ends][cuts - a]
+        ids = pa.array(doc_id[at[a:b]], pa.int64(), mask=null_id[at[a:b]])
+        parts = pa.StructArray.from_arrays([ids, pa.array(piece[a:b], pa.int64()), pa.array(start[a:b], pa.int32()), pa.array(length[a:b], pa.int32())], fields=list(_PIECE))
+        columns = {
+            "shard": pa.array(np.full(upto - w, shard)), "window": pa.array(np.arange(w, upto)), "n_tokens": pa.array(np.diff(token_cuts), pa.int32()),
+            "doc_ids": lists(cuts - a, ids), "pieces": lists(cuts - a, parts), "token_ids": lists(token_cuts, pa.array(flat[source], pa.int32())),
+        }
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def pack(docs: DataFrame, window: int = WINDOW, docs_per_shard: int = DOCS_PER_SHARD, chars_per_shard: int = CHARS_PER_SHARD, tokenizer: str = TOKENIZER) -> DataFrame:
     """One row for each window: its shard, its pieces in order with the documents they are of, its token ids."""
     dealt, shards = with_shards(docs, docs_per_shard, chars_per_shard)
 
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        ids = rows["ids"].combine_chunks()
-        doc_id = rows["doc_id"].combine_chunks()
-        offsets = ids.offsets.to_numpy().astype(np.int64)
-        flat = ids.values.to_numpy(zero_copy_only=False)
-        null_id = doc_id.is_null().to_numpy(zero_copy_only=False)
-        return fill(key[0].as_py(), doc_id.fill_null(0).to_numpy(), null_id, rows["text_hash"].fill_null(0).to_numpy(), offsets, flat, window)
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc_id, null_id, text_hash, counts, values = [], [], [], [], []
+        for batch in batches:
+            ids, lists = batch.column("doc_id"), batch.column("ids")
+            doc_id.append(ids.fill_null(0).to_numpy(zero_copy_only=False))
+            null_id.append(ids.is_null().to_numpy(zero_copy_only=False))
+            text_hash.append(batch.column("text_hash").fill_null(0).to_numpy(zero_copy_only=False))
+            counts.append(np.diff(lists.offsets.to_numpy()))
+            values.append(lists.flatten().to_numpy(zero_copy_only=False).copy())  # a batch's other memory goes
+        offsets = np.r_[0, np.cumsum(np.concatenate(counts))].astype(np.int64)
+        flat = np.concatenate(values)
+        values.clear()
+        yield from fill(key[0].as_py(), np.concatenate(doc_id), np.concatenate(null_id), np.concatenate(text_hash), offsets, flat, window)
 
     # a given number of partitions: by bytes alone the planner would join many shards into one task
     return tokens_of(dealt, tokenizer).repartition(shards, "shard").groupBy("shard").applyInArrow(run, WINDOWS)
