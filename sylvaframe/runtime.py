@@ -7,7 +7,9 @@ executors share, and never to a machine-local one.
 
 from __future__ import annotations
 
+import atexit
 import logging
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -46,16 +48,19 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can reach.
 
     The session's ``spark.checkpoint.dir`` decides. Where that is unset a local
-    master gets a temporary folder; any other master must name one.
+    master, which is one machine, gets a temporary folder that goes when Python
+    ends; any other master must name one.
     """
     global _LOCAL_SCRATCH
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local["):
+    if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _LOCAL_SCRATCH is None:
-        _LOCAL_SCRATCH = "file://" + tempfile.mkdtemp(prefix="sylvaframe-")
+        folder = tempfile.mkdtemp(prefix="sylvaframe-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _LOCAL_SCRATCH = "file://" + folder
     return _LOCAL_SCRATCH
 
 
