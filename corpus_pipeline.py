@@ -2,8 +2,15 @@
 
 Each stage gets all rows that its predecessor kept, as a written table, and
 returns the rows it keeps with the columns of documents; the last one returns
-where each piece of each document goes. No stage but the mixing drops or
-repeats a clean document, and that one only to meet the source weights.
+the training windows: token ids, and the pieces of documents they are made of.
+No stage but the mixing drops or repeats a clean document, and that one only to
+meet the source weights.
+
+Defined results: a null or empty text goes through every stage as its statistics
+and the stages' docstrings say, and ends as one end-of-document token; very long
+texts are kept whole; of ties the least id stays; repeated rows leave one; empty
+tables give no windows; extra columns pass through all stages but the last,
+whatever they are called.
 
 Packing and the learned rules have no SQL, so ORACLE_SQL is None; tests/llm
 compares run() with a brute-force version.
