@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize, pick, small_side
-from .token_orc import TOKENIZER, encoded, load_encoding, ranks_of
+from .token_orc import TOKENIZER, encoded, load_encoding, ranks_of, sliced
 
 WINDOW = 2048
 DOCS_PER_SHARD = 20_000
@@ -98,7 +98,7 @@ def tokens_of(dealt: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = load_encoding(ranks_file.value)
-        for batch in batches:
+        for batch in sliced(batches):
             ids, _ = encoded(encoding, batch.column(1).to_pylist(), end=True)
             yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(0), batch.column(2), ids], ["shard", "doc_id", "text_hash", "ids"])
 

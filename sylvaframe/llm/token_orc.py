@@ -50,6 +50,13 @@ def ranks_of(spark: SparkSession, tokenizer: str):
         return spark.sparkContext.broadcast(f.read())
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that texts and ids of few rows are held as Python objects."""
+    for batch in batches:
+        for at in range(0, max(1, len(batch)), rows):
+            yield batch.slice(at, rows)
+
+
 def encoded(encoding, texts: list, end: bool = False) -> tuple[pa.Array, np.ndarray]:
     """(token ids of each text as a list array, null for null; counts). With ``end`` the id after the last rank closes each text, null ones too."""
     last = np.array([encoding.max_token_value + 1], np.uint32)
@@ -70,7 +77,7 @@ def tokenize(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = load_encoding(ranks_file.value)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).to_pylist()
             lists, counts = encoded(encoding, texts)
             null = np.array([t is None for t in texts], bool)
