@@ -1,4 +1,4 @@
-"""MinHash near-dedup by a chosen-path set similarity join.
+"""Exact near-dedup: a chosen-path set similarity join, completed by a prefix join.
 
 After Christiani, Pagh and Sivertsen, "Scalable and Robust Set Similarity Join".
 A document is the set of its word trigrams (lower-cased; fewer than three words
@@ -8,7 +8,17 @@ hash, and each of its documents goes to one child per drawn slot, named by the
 document's token there; two documents of Jaccard similarity s share
 s/threshold children in the mean. A node of up to LEAF documents is
 compared exhaustively, and so is one of up to BIG that kept most of its parent's,
-since its members are alike. TREES independent trees bring recall to its target.
+since its members are alike. TREES independent trees find nearly all links; what
+they leave out, an exact join finds, so that no link is lost:
+
+* Only a document of which at least the threshold's share of shingles occurs in
+  another row can resemble one. Shingles are counted by 32 bits and their bucket,
+  so that one may be taken for shared that isn't, never the reverse. The other
+  documents take no part in the trees or in the join.
+* The rest are joined by prefixes: with all shingles in one order, frequent ones
+  of a sample last, two similar sets share one among the first n - ceil(threshold
+  n) + 1 of each. Pairs within one of the trees' groups are settled already, so
+  only pairs between different groups are compared.
 
 A larger node of alike documents is never gathered in one task. Its documents are
 compared with PIVOTS of them, wherever they lie; each that a pivot reaches is
@@ -20,9 +30,9 @@ no task's work grows with a group's size.
 Comparison in a node looks only for what connects: from a document, all others
 not yet reached are compared at once, and those similar enough are reached and
 searched from in turn. That finds exactly the connected groups that all pairs
-would give, at near-linear cost in a group of near-copies. Similarity is judged
-by the share of equal tokens where that is CERTAIN away from the threshold, and
-by the exact Jaccard similarity of the shingle sets in between.
+would give, at near-linear cost in a group of near-copies. In the trees, pairs are
+proposed by the share of equal tokens; each link of the trees and of the join is
+then judged by the exact Jaccard similarity of the shingle sets.
 
 Documents with equal shingle sets (told by a 64-bit hash) are one item from the
 start. Nodes with the same members are compared once.
@@ -40,7 +50,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..runtime import Shield, materialize, materialize_bucketed, pick, small_side
@@ -59,6 +69,13 @@ BIG = 2_000
 PIVOTS = 4
 STAYING = 4
 CERTAIN = 0.13  # three standard errors of the estimate at similarity 1/2
+#: Shingles that a task holds at a time, and those that one bucket counts on average.
+CHUNK = 1_000_000
+#: Documents of a chunk; their places are 16 bits, of which the last says that no answer is needed.
+CHUNK_DOCS = 60_000
+#: Documents whose shingles are counted for the join's order, and the frequent shingles it knows.
+ORDER_SAMPLE = 4_000
+ORDER_KNOWN = 100_000
 COHESIVE = 0.9
 SEED = 23
 
@@ -117,22 +134,146 @@ def halves(tokens: np.ndarray) -> tuple[bytes, bytes]:
     return (tokens >> np.uint32(16)).astype("<u2").tobytes(), tokens.astype("<u2").tobytes()
 
 
-def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cache = _WordHashes()
-    for rows in batches:
-        keys, sigs = [], []
-        for text in rows["text"]:
-            s = shingles(text, cache) if text is not None else np.empty(0, np.uint64)
-            keys.append(xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 if len(s) else None)
-            sigs.append(halves(signature(s)) if len(s) else (None, None))
-        yield pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "text_hash": rows["text_hash"], "key": pd.array(keys, "Int64"), "high": [h for h, _ in sigs], "sig": [low for _, low in sigs]})
+_DOC = np.dtype([("doc_id", "<i8"), ("no_id", "?"), ("text_hash", "<i8"), ("key", "<i8"), ("n", "<i4"), ("shared", "<i4")])
+_PARCEL = "batch long, bucket int, tokens binary, places binary, docs binary, parts int"
+_ANSWER = "batch long, places binary, docs binary, parts int"
+_SIGNED = "doc_id long, text_hash long, key long, live boolean"
+_NO_ANSWER = 0xFFFF
+
+
+def _parcels(buckets: int):
+    def pack(docs: list[tuple], sets: list[np.ndarray]) -> pd.DataFrame:
+        """A chunk's distinct shingles by bucket, and a line with its documents.
+
+        Shingles that two of its rows have are counted here and sent once.
+        """
+        head = np.array([(*d, len(x), 0) for d, x in zip(docs, sets)], _DOC)
+        token = np.concatenate(sets)
+        place = np.repeat(np.arange(len(sets)), head["n"])
+        order = np.argsort(token)
+        token, place = token[order], place[order]
+        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        count = np.diff(np.r_[starts, len(token)])
+        head["shared"] = np.bincount(place[np.repeat(count > 1, count)], minlength=len(sets))
+        token, place = token[starts], np.where(count > 1, _NO_ANSWER, place[starts]).astype("<u2")
+        bucket = ((token >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)  # ascends as the tokens do
+        at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        ends = np.r_[at[1:], len(token)]
+        low = token.astype("<u4")
+        batch = xxhash.xxh3_64_intdigest(head.tobytes()) - 2**63
+        lines = [(batch, int(bucket[a]), low[a:b].tobytes(), place[a:b].tobytes(), None, None) for a, b in zip(at, ends)]
+        lines.append((batch, batch % buckets, None, None, head.tobytes(), len(at)))
+        return pd.DataFrame(lines, columns=["batch", "bucket", "tokens", "places", "docs", "parts"]).astype({"parts": "Int32"})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = _WordHashes()
+        docs, sets, held = [], [], 0
+        for rows in batches:
+            for doc_id, text_hash, text in zip(rows["doc_id"].astype("Int64"), rows["text_hash"], rows["text"]):
+                s = shingles(text, cache)
+                if not len(s):
+                    continue
+                none = doc_id is pd.NA
+                docs.append((0 if none else doc_id, none, text_hash, xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63))
+                sets.append(s)
+                held += len(s)
+                if held >= CHUNK or len(sets) >= CHUNK_DOCS:
+                    yield pack(docs, sets)
+                    docs, sets, held = [], [], 0
+        if sets:
+            yield pack(docs, sets)
+
+    return run
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, key, high, sig) of each row with at least one word; ``sig``: the tokens' low halves."""
-    rows = pick(docs, "doc_id", "text").where(F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
-    schema = "doc_id long, text_hash long, key long, high binary, sig binary"
-    return rows.mapInPandas(_sign, schema).where(F.col("key").isNotNull())
+def _answer(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket: to each chunk, the places of its documents, once for each shingle that other chunks or rows have too."""
+    heads, rows = rows[rows["docs"].notna()], rows[rows["docs"].isna()]
+    found: list[bytes] = []
+    if len(rows):
+        token = np.frombuffer(b"".join(rows["tokens"]), "<u4")
+        place = np.frombuffer(b"".join(rows["places"]), "<u2")
+        ends = np.cumsum([len(t) // 4 for t in rows["tokens"]])
+        order = np.argsort(token)
+        token = token[order]
+        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        times = np.add.reduceat(1 + (place[order] == _NO_ANSWER), starts)
+        shared = np.empty(len(token), bool)
+        shared[order] = np.repeat(times > 1, np.diff(np.r_[starts, len(token)]))
+        shared &= place != _NO_ANSWER
+        found = [place[a:b][shared[a:b]].tobytes() for a, b in zip(np.r_[0, ends[:-1]], ends)]
+    none = [None] * len(heads), [None] * len(rows)
+    return pd.DataFrame(
+        {
+            "batch": np.r_[heads["batch"].to_numpy(np.int64), rows["batch"].to_numpy(np.int64)],
+            "places": pd.Series([*none[0], *found], dtype=object),
+            "docs": pd.Series([*heads["docs"], *none[1]], dtype=object),
+            "parts": pd.array([*heads["parts"].astype(int), *none[1]], "Int32"),
+        }
+    )
+
+
+def _live(threshold: float):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """A chunk's documents; live: enough of the shingles are shared, or not all buckets have answered."""
+        heads, answers = rows[rows["docs"].notna()], rows[rows["docs"].isna()]
+        if not len(heads):
+            return pd.DataFrame({"doc_id": pd.array([], "Int64"), "text_hash": [], "key": [], "live": []}).astype({"text_hash": "int64", "key": "int64", "live": "bool"})
+        chunks = [np.frombuffer(d, _DOC) for d in heads["docs"]]
+        head = np.concatenate(chunks)
+        shared = head["shared"].copy()
+        if len(chunks) == 1 and len(answers) == heads["parts"].iloc[0]:
+            shared += np.bincount(np.frombuffer(b"".join(answers["places"]), "<u2"), minlength=len(head)).astype(np.int32)
+        else:
+            shared = head["n"]
+        ids = pd.array(head["doc_id"], "Int64")
+        ids[head["no_id"]] = pd.NA
+        return pd.DataFrame({"doc_id": ids, "text_hash": head["text_hash"], "key": head["key"], "live": shared >= _least(head["n"], threshold)})
+
+    return run
+
+
+def _least(n: np.ndarray, threshold: float) -> np.ndarray:
+    """The shingles that a set of n shares at least with any that it resembles."""
+    return np.maximum(np.ceil(n * threshold - 1e-9), 1).astype(np.int64)
+
+
+def _with_hash(docs: DataFrame) -> DataFrame:
+    return pick(docs, "doc_id", "text").where(F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
+
+
+def sign(docs: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, text_hash, key, live) of each row with at least one word; a row that isn't live resembles no other."""
+    rows = _with_hash(docs)
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    parcels = rows.mapInPandas(_parcels(int(chars // (6 * CHUNK)) + 1), _PARCEL)
+    answers = parcels.groupBy("bucket").applyInPandas(_answer, _ANSWER)
+    return answers.groupBy("batch").applyInPandas(_live(threshold), _SIGNED)
+
+
+_ITEM = "key long, n int, high binary, sig binary, shingles binary"
+
+
+def _items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    cache = _WordHashes()
+    for rows in batches:
+        for a in range(0, len(rows), 1000):
+            sets = [shingles(text, cache) for text in rows["text"].iloc[a : a + 1000]]
+            keys = [xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 for s in sets]
+            sigs = [halves(signature(s)) for s in sets]
+            yield pd.DataFrame({"key": keys, "n": [len(s) for s in sets], "high": [h for h, _ in sigs], "sig": [low for _, low in sigs], "shingles": [s.tobytes() for s in sets]})
+
+
+def live_items(docs: DataFrame, signed: DataFrame) -> DataFrame:
+    """(key, n, high, sig, shingles) of the live rows' distinct sets; ``sig``: the tokens' low halves."""
+    counted = signed.where("live").groupBy("key", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    ids = materialize(counted.groupBy("key").agg(F.min(F.struct("doc_id", "text_hash", "rows")).alias("r")).select("r.*"), "wanted")
+    rows = _with_hash(docs)
+    match = rows["doc_id"].eqNullSafe(ids["doc_id"]) & (rows["text_hash"] == ids["text_hash"])
+    texts = rows.join(small_side(ids, ids.count(), 32), match, "left_semi").select("text")
+    items = texts.mapInPandas(_items, _ITEM)
+    # a row repeated in full comes more than once
+    return items if ids.where("rows > 1").isEmpty() else items.dropDuplicates(["key"])
 
 
 def _children(rows: DataFrame, threshold: float) -> DataFrame:
@@ -297,37 +438,78 @@ def similar_items(items: DataFrame, threshold: float, trees: int, leaf: int, cer
     return found
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cache = _WordHashes()
-    for rows in batches:
-        sets = [shingles(text, cache) for text in rows["text"]]
-        keys = [xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63 if len(s) else None for s in sets]
-        yield pd.DataFrame({"key": pd.array(keys, "Int64"), "shingles": [s.tobytes() for s in sets]})
-
-
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 0.0
 
 
-def settle(docs: DataFrame, signed: DataFrame, unsure: DataFrame, threshold: float) -> DataFrame:
-    """Of the unsure (a, b) edges, those whose exact similarity reaches the threshold.
-
-    Shingle sets are rebuilt for the documents concerned only.
-    """
-    wanted = unsure.select(F.col("a").alias("key")).unionByName(unsure.select(F.col("b").alias("key"))).distinct()
-    ids = materialize(signed.join(wanted, "key").groupBy("key").agg(F.min_by(F.struct("doc_id", "text_hash"), F.struct("doc_id", "text_hash")).alias("r")).select("r.*"), "wanted")
-    rows = pick(docs, "doc_id", "text").where(F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
-    match = rows["doc_id"].eqNullSafe(ids["doc_id"]) & (rows["text_hash"] == ids["text_hash"])
-    texts = rows.join(small_side(ids, ids.count(), 32), match, "left_semi").select("text")
-    sets = materialize(texts.mapInPandas(_sets, "key long, shingles binary").dropDuplicates(["key"]), "sets")
-    pairs = unsure.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+def settle(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Of the (a, b) pairs, those whose exact similarity reaches the threshold."""
+    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
 
     @F.pandas_udf("double")
     def similarity(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([jaccard(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) for p, q in zip(x, y)], dtype="float64")
 
-    return pairs.where(similarity("sa", "sb") >= F.lit(threshold)).select("a", "b")
+    return both.where(similarity("sa", "sb") >= F.lit(threshold)).select("a", "b")
+
+
+def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in batches:
+        for a in range(0, len(rows), 256):
+            yield pd.DataFrame({"token": np.frombuffer(b"".join(rows["shingles"].iloc[a : a + 256]), np.int64)})
+
+
+def _prefixes(threshold: float, known: np.ndarray, times: np.ndarray):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The shingles of each set's prefix. Any one order of all shingles is right; this one puts frequent ones last."""
+
+        def flush(held: list[tuple]) -> pd.DataFrame:
+            long = [len(p) for p, *_ in held]
+            columns = {c: np.repeat([h[i] for h in held], long) for i, c in ((1, "key"), (2, "root"), (3, "n"))}
+            place = np.concatenate([np.arange(1, k + 1) for k in long])
+            return pd.DataFrame({"token": np.concatenate([p for p, *_ in held]).view(np.int64), **columns, "place": place}).astype({"n": "int32", "place": "int32"})
+
+        held, total = [], 0
+        for rows in batches:
+            for key, root, n, s in zip(rows["key"], rows["root"], rows["n"], rows["shingles"]):
+                s = np.frombuffer(s, np.uint64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    s = s[np.argsort(np.where(known[at] == s, times[at], 0), kind="stable")]
+                held.append((s[: n - int(_least(np.int64(n), threshold)) + 1], key, root, n))
+                total += len(held[-1][0])
+                if total >= CHUNK // 4:
+                    yield flush(held)
+                    held, total = [], 0
+        if held:
+            yield flush(held)
+
+    return run
+
+
+def missed_pairs(sets: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of all sets in different groups that may be similar: each similar pair is among them.
+
+    What two sets share beyond the last shingle that both prefixes have comes after
+    it in either, and beyond the prefix in the one whose prefix ends first.
+    """
+    part = max(1, sets.count() // ORDER_SAMPLE)
+    sample = sets.where(F.pmod(F.xxhash64("key", F.lit(-3)), F.lit(part)) == 0).select("shingles")
+    counted = sample.mapInPandas(_tokens, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("times")).where("times > 2")
+    frequent = counted.orderBy(F.desc("times"), "token").limit(ORDER_KNOWN).toPandas()
+    known = frequent["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(known)
+    rooted = sets.select("key", "n", "shingles").join(roots.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    rows = rooted.mapInPandas(_prefixes(threshold, known[order], frequent["times"].to_numpy()[order]), "token long, key long, root long, n int, place int")
+    same = Window.partitionBy("token")
+    mixed = rows.withColumns({"lo": F.min("root").over(same), "hi": F.max("root").over(same)}).where("lo < hi").select("token", "key", "root", "n", "place")
+    mixed = materialize(mixed, "mixed")
+    a, b = mixed.toDF("token", "a", "ra", "na", "pa"), mixed.toDF("token", "b", "rb", "nb", "pb")
+    fits = (F.col("ra") < F.col("rb")) & (F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(threshold) - F.lit(1e-9))
+    met = a.join(b, "token").where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"), *[F.max(c).alias(c) for c in ("na", "nb", "pa", "pb")])
+    beyond = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"), F.ceil(F.greatest("na", "nb") * F.lit(threshold) - F.lit(1e-9)) - 1)
+    return met.where(F.col("both") + beyond >= (F.col("na") + F.col("nb")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-6)).select("a", "b")
 
 
 def groups(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, leaf: int = LEAF, certain: float = CERTAIN, max_depth: int = MAX_DEPTH, big: int = BIG) -> DataFrame:
@@ -336,15 +518,18 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, le
     One line per distinct (doc_id, text); ``rows`` counts how often it occurs,
     the kept pair is the group's document that stays.
     """
-    signed = materialize(signatures(docs), "signed")
-    items = materialize_bucketed(signed.groupBy("key").agg(F.any_value("high").alias("high"), F.any_value("sig").alias("sig")), "items", "key")
-    edges = materialize(similar_items(items, threshold, trees, leaf, certain, max_depth, big).distinct(), "pairs")
-    sure, unsure = edges.where("sure").select("a", "b"), edges.where("NOT sure").select("a", "b")
-    unsure = unsure.join(sure, ["a", "b"], "left_anti")
-    linked = sure if unsure.isEmpty() else sure.unionByName(settle(docs, signed, unsure, threshold))
+    signed = materialize(sign(docs, threshold), "signed")
+    sets = materialize_bucketed(live_items(docs, signed), "items", "key")
+    items = sets.select("key", "high", "sig")
+    edges = materialize(similar_items(items, threshold, trees, leaf, certain, max_depth, big).select("a", "b").distinct(), "pairs")
+    linked = materialize(settle(sets, edges, threshold), "linked")
     roots = components(linked)
+    missed = materialize(settle(sets, missed_pairs(sets, roots, threshold), threshold), "missed")
+    if not missed.isEmpty():
+        roots = components(linked.unionByName(missed))
     members = (
-        signed.groupBy("key", "doc_id", "text_hash")
+        signed.where("live")
+        .groupBy("key", "doc_id", "text_hash")
         .agg(F.count(F.lit(1)).alias("rows"))
         .join(roots.withColumnRenamed("node", "key"), "key", "left")
         .withColumn("root", F.coalesce("root", "key"))

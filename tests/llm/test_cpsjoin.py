@@ -177,3 +177,43 @@ def test_no_task_compares_more_than_a_big_node(spark, monkeypatch):
     monkeypatch.setattr(cpsjoin, "materialize", watched)
     got = groups(docs, big=50).collect()
     assert max(sizes) <= 64 and {r["kept_id"] for r in got} == {0} and len(got) == 400
+
+
+def at_the_threshold(n):
+    """Pairs of texts whose trigrams' Jaccard similarity is 1/2 exactly, or just below."""
+    texts = []
+    for i in range(n):
+        same, more = 2 * (20 + i % 30), 20 + i % 30
+        base = [f"p{i}_{k}" for k in range(same + 2)]
+        texts.append(" ".join(base + [f"q{i}_{k}" for k in range(more)]))
+        texts.append(" ".join(base + [f"r{i}_{k}" for k in range(more + i % 2)]))
+    return texts
+
+
+def test_no_pair_at_the_threshold_is_left_out(spark):
+    texts = at_the_threshold(300)
+    want, _ = exact_groups_of_neighbours(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_id"] for r in groups(docs).collect()}
+    assert got == want and len(got) == 300
+
+
+def exact_groups_of_neighbours(texts):
+    """As exact_groups, where only texts 2k and 2k + 1 share anything."""
+    sets = [set(shingles(t, _Cache()).tolist()) for t in texts]
+    alike = [len(a & b) / len(a | b) >= THRESHOLD for a, b in zip(sets[::2], sets[1::2])]
+    return {i: 2 * (i // 2) for k, yes in enumerate(alike) if yes for i in (2 * k, 2 * k + 1)}, sets
+
+
+@pytest.mark.parametrize("make", [lambda: corpus(4), lambda: large_clusters(5)])
+def test_whatever_the_trees_leave_out_is_found(spark, make, monkeypatch):
+    """One tree finds few links; small chunks and samples make all parts of the join meet."""
+    from sylvaframe.llm import cpsjoin
+
+    monkeypatch.setattr(cpsjoin, "CHUNK", 3_000)
+    monkeypatch.setattr(cpsjoin, "ORDER_SAMPLE", 50)
+    texts = make()
+    want, _ = exact_groups(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_id"] for r in groups(docs, trees=1, leaf=4).collect()}
+    assert got == {i: w for i, w in enumerate(want) if want.count(w) > 1}
