@@ -36,6 +36,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -136,10 +137,10 @@ class Shares(dict):
     def __init__(self, ids: WordIds, rare: list[str], n: np.ndarray, counts: np.ndarray):
         known = len(ids)
         super().__init__(ids)
-        self.update(zip(rare, range(known, known + len(rare))))
+        self.update(zip(rare, range(known, known + len(rare))))  # a word that comes twice has the same count
         self.end, self.kind = ids.end, ids.kind
         self.ids = np.arange(known + len(rare)).astype(ids.kind)
-        self.ids[known:] = [ids[w] for w in rare]
+        self.ids[known:] = [ids.buckets[w[-3:]] for w in rare]
         self.share = np.zeros(known + len(rare))
         self.share[known:] = np.log(n / counts[self.ids[known:]])
 
@@ -249,32 +250,38 @@ class GRU:
         """
         steps, lanes = inputs.shape
         H, weights = HIDDEN, self.gate_weights()
-        gates = np.ascontiguousarray(self.p["ex"].reshape(self.vocab, 3, H).transpose(1, 0, 2))[:, inputs]
+        table = np.ascontiguousarray(self.p["ex"].reshape(self.vocab, 3, H).transpose(1, 0, 2))
+        # a gate is 1 / (1 + exp(-x)): x comes with its sign turned
+        weights[:2] *= np.float32(-1)
+        table[:2] *= np.float32(-1)
+        gates = table[:, inputs]
         states = np.empty((steps, lanes, H), np.float32)
         # state before, update, reset, candidate, candidate's recurrent part
         saved = np.empty((5, steps, lanes, H), np.float32) if keep else None
         fresh = first.any(1)
         g = np.empty((3, lanes, H), np.float32)
-        for t in range(steps):
-            if fresh[t]:
-                h = np.where(first[t][:, None], np.float32(0), h)
-            np.matmul(h, weights, out=g)
-            zr = gates[:2, t] + g[:2]
-            np.negative(zr, out=zr)
-            np.exp(np.minimum(zr, 60, out=zr), out=zr)
-            zr += np.float32(1)
-            np.reciprocal(zr, out=zr)
-            z, r = zr
-            n = r * g[2]
-            n += gates[2, t]
-            np.tanh(n, out=n)
-            if keep:
-                saved[0, t], saved[1:3, t], saved[3, t], saved[4, t] = h, zr, n, g[2]
-            new = states[t]
-            np.subtract(h, n, out=new)
-            new *= z
-            new += n
-            h = new
+        zr, n = np.empty((2, lanes, H), np.float32), np.empty((lanes, H), np.float32)
+        with np.errstate(over="ignore"):  # a gate whose exp is infinite is 0
+            for t in range(steps):
+                if fresh[t]:
+                    h = np.where(first[t][:, None], np.float32(0), h)
+                np.matmul(h, weights, out=g)
+                if keep:
+                    saved[0, t], saved[4, t] = h, g[2]
+                    zr, n = saved[1:3, t], saved[3, t]
+                np.add(gates[:2, t], g[:2], out=zr)
+                np.exp(zr, out=zr)
+                zr += np.float32(1)
+                np.reciprocal(zr, out=zr)
+                z, r = zr
+                np.multiply(r, g[2], out=n)
+                n += gates[2, t]
+                np.tanh(n, out=n)
+                new = states[t]
+                np.subtract(h, n, out=new)
+                new *= z
+                new += n
+                h = new
         return states, saved, h.copy()
 
     def backward(self, inputs, first, states_grad, saved) -> dict[str, np.ndarray]:
@@ -309,10 +316,12 @@ class GRU:
         starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
         ex, wh = np.zeros_like(self.p["ex"]), np.empty_like(self.p["wh"])
         states = before.reshape(-1, H).T
+        by_word = np.empty((len(flat), 3 * H), np.float32)
         for k, (own, recurrent) in enumerate(((0, 0), (1, 1), (3, 2))):
             at = slice(k * H, (k + 1) * H)
-            ex[ranked[starts], at] = np.add.reduceat(d[own].reshape(-1, H)[order], starts)
+            by_word[:, at] = d[own].reshape(-1, H)[order]
             wh[:, at] = states @ d[recurrent].reshape(-1, H)
+        ex[ranked[starts]] = np.add.reduceat(by_word, starts)
         return {"ex": ex, "wh": wh}
 
     # -- output ----------------------------------------------------------------
@@ -328,10 +337,12 @@ class GRU:
         per, classes = self.per, self.classes
         kind = (targets // per).astype(np.uint8 if classes <= 256 else np.uint16)
         order = np.argsort(kind, kind="stable")
-        h, target, kind = states[order], targets[order], kind[order]
+        target, kind = targets[order], kind[order]
+        # a column of ones takes the biases along
+        h = np.ones((n, HIDDEN + 1), np.float32)
+        h[:, :-1] = states[order]
         rows = np.arange(n)
-        logits = h @ self.p["wc"]
-        logits += self.p["bc"]
+        logits = h @ np.vstack([self.p["wc"], self.p["bc"]])
         bounded = self.bounded()
         if not bounded:
             logits -= logits.max(1, keepdims=True)
@@ -341,13 +352,13 @@ class GRU:
         logp = chosen - np.log(total)
         cuts = np.searchsorted(kind, np.arange(classes + 1))
         inner = np.empty((n, per), np.float32)
-        ww, bw = self.p["ww"], self.p["bw"]
+        ww = self.p["ww"]
+        both = np.column_stack([ww, self.p["bw"]])
         for c in range(classes):
             a, b = cuts[c], cuts[c + 1]
             if a < b:
                 at = slice(c * per, (c + 1) * per)
-                np.matmul(h[a:b], ww[at].T, out=inner[a:b])
-                inner[a:b] += bw[at]
+                np.matmul(h[a:b], both[at].T, out=inner[a:b])
         within = target - kind.astype(target.dtype) * target.dtype.type(per)
         if not bounded:
             inner -= inner.max(1, keepdims=True)
@@ -365,15 +376,15 @@ class GRU:
         logits[rows, kind] -= scale
         inner *= (scale / inner_total)[:, None]
         inner[rows, within] -= scale
-        grads = {"wc": h.T @ logits, "bc": logits.sum(0), "ww": np.zeros_like(ww), "bw": np.zeros_like(bw)}
+        outer, both_grad = h.T @ logits, np.zeros_like(both)
         dh = logits @ self.p["wc"].T
         for c in range(classes):
             a, b = cuts[c], cuts[c + 1]
             if a < b:
                 at = slice(c * per, (c + 1) * per)
                 dh[a:b] += inner[a:b] @ ww[at]
-                grads["ww"][at] = inner[a:b].T @ h[a:b]
-                grads["bw"][at] = inner[a:b].sum(0)
+                both_grad[at] = inner[a:b].T @ h[a:b]
+        grads = {"wc": outer[:-1], "bc": outer[-1], "ww": both_grad[:, :-1], "bw": both_grad[:, -1]}
         back = np.empty_like(dh)
         back[order] = dh
         return out, grads, back
@@ -553,8 +564,8 @@ def by_shares(ids: WordIds, path: str, counts: np.ndarray) -> Callable[[pd.DataF
             if part != at:
                 shares = None  # two needn't be held
                 words, n = read_part(path, part)
-                rare = {w: c for w, c in zip(words, n) if w not in ids}
-                at, shares = part, Shares(ids, list(rare), np.array(list(rare.values())), counts)
+                beyond = np.fromiter((w not in ids for w in words), bool, len(words))
+                at, shares = part, Shares(ids, list(compress(words, beyond)), n[beyond], counts)
             out.append(shares.encode(text))
         return batch.drop(columns=["text"]).assign(share=[s for _, s in out]), [d for d, _ in out]
 

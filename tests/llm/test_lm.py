@@ -109,3 +109,13 @@ def test_oddities(spark):
     assert score(empty(spark), words, model).count() == 0
     words, counts = vocabulary(empty(spark))
     assert words == [] and rows_of(score(empty(spark), words, train(empty(spark), words, counts))) == []
+
+
+def test_gates_may_be_pushed_to_their_ends(model):
+    """Inputs so far out that a gate's exp is infinite leave states finite, without a warning."""
+    far = {k: v.copy() for k, v in model.items()}
+    far["ex"] *= np.float32(1000)
+    inputs = np.random.default_rng(1).integers(0, VOCAB, (8, 5)).astype(np.int16)
+    with np.errstate(all="raise", under="ignore"):
+        states, saved, _ = GRU(far).forward(inputs, np.zeros((8, 5), bool), np.zeros((5, HIDDEN), np.float32), True)
+    assert np.isfinite(saved).all() and (np.abs(states) <= 1).all()
