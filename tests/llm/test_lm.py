@@ -119,3 +119,16 @@ def test_gates_may_be_pushed_to_their_ends(model):
     with np.errstate(all="raise", under="ignore"):
         states, saved, _ = GRU(far).forward(inputs, np.zeros((8, 5), bool), np.zeros((5, HIDDEN), np.float32), True)
     assert np.isfinite(saved).all() and (np.abs(states) <= 1).all()
+
+
+def test_a_frequent_words_gradient_is_the_sum_of_its_places(model):
+    """As summed in float64 over places that have a word each; float32 sums of so many drift from it."""
+    rng = np.random.default_rng(5)
+    g = GRU(model)
+    each, same = np.arange(VOCAB, dtype=np.int16).reshape(32, 32), np.full((32, 32), 7, np.int16)
+    first = rng.random(each.shape) < 0.1
+    _, saved, _ = g.forward(each, first, np.zeros((32, HIDDEN), np.float32), True)
+    back = rng.random((32, 32, HIDDEN)).astype(np.float32)
+    places, summed = (g.backward(inputs, first, back, saved)["ex"] for inputs in (each, same))
+    np.testing.assert_array_equal(summed[7], places.astype(np.float64).sum(0).astype(np.float32))
+    assert not np.delete(summed, 7, 0).any()
