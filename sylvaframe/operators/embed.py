@@ -92,7 +92,7 @@ def prepend_embeddings(groups: DataFrame, cache: DataFrame, trees: str = "trees"
     """
     dim = cache.select(F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()[0]
     part = "lemma" if use_lemma else "word"
-    nodes = groups.select(key, F.posexplode(trees).alias("tree", "g")).select(key, "tree", F.posexplode("g.node_texts").alias("node", "t")).select(key, "tree", "node", F.col(f"t.{part}").alias("word"))
+    nodes = groups.select(key, F.posexplode(f"{trees}.node_texts").alias("tree", "ts")).select(key, "tree", F.posexplode("ts").alias("node", "t")).select(key, "tree", "node", F.col(f"t.{part}").alias("word"))
     vectors = lookup(nodes, cache).withColumn("embedding", F.coalesce("embedding", F.array_repeat(F.lit(0.0).cast("float"), dim)))
     gathered = vectors.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(F.struct("tree", "node"), "embedding"))).alias("_vectors"))
 

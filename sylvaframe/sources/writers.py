@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.sharding import shard_file_name
+from ..runtime import short_row_groups
 from ..schemas import DOCUMENT_VERSION
 
 
@@ -18,7 +20,7 @@ def header(requires_word_embeddings: bool = True) -> dict[str, object]:
 
 def write_groups(groups: DataFrame, path: str, parts: str | None = None, fmt: str = "parquet", mode: str = "error") -> None:
     """One row a group. With ``parts`` (a column) there is a folder for each part."""
-    out = groups.write.format(fmt).mode(mode)
+    out = short_row_groups(groups.write).format(fmt).mode(mode)
     (out.partitionBy(parts) if parts else out).save(path)
 
 
@@ -34,6 +36,27 @@ def write_documents(groups: DataFrame, path: str, part: str, order: str, require
     gathered.select(part, F.to_json(F.struct(*head, bare.alias("groups"))).alias("value")).write.mode(mode).partitionBy(part).text(path)
 
 
+def document_of(key: Column, rows: int, parts: int, size: int = 200) -> Column:
+    """The number of the document, within its part, that takes a row: by a hash, of as many as hold ``size`` rows on average."""
+    return F.pmod(F.xxhash64(key), F.lit(max(1, -(-rows // (parts * size)))))
+
+
+def write_part_documents(groups: DataFrame, path: str, part: str, document: str, order: str, requires_word_embeddings: bool = True, mode: str = "error", compression: str = "none") -> None:
+    """As write_documents, for parts of any size: several JSON documents a part, each whole with its header, in a folder of its own.
+
+    ``document`` (a column) says which one of its part takes a group; a document
+    is one reader's memory. A group is a line of its file, so a task that writes
+    sorts and passes on single groups.
+    """
+    names = [c for c in groups.columns if c not in (part, document, order)]
+    lines = groups.select(part, document, order, F.to_json(F.struct(*names)).alias("value")).repartition(part, document)
+    ahead = Window.partitionBy(part, document).orderBy(order)
+    placed = lines.withColumns({"_first": F.row_number().over(ahead) == 1, "_next": F.lead(F.lit(True)).over(ahead)})
+    opened = F.lit(json.dumps(header(requires_word_embeddings))[:-1] + ', "groups": [\n')
+    value = F.concat(F.when(F.col("_first"), opened).otherwise(F.lit("")), "value", F.when(F.col("_next"), F.lit(",")).otherwise(F.lit("\n]}")))
+    placed.select(part, document, value.alias("value")).write.mode(mode).partitionBy(part, document).option("compression", compression).text(path)
+
+
 def merge_documents(frames: list[DataFrame]) -> DataFrame:
     """Rows of several groups tables, those of the old shape (``graph_pairs`` with ``labels``) included."""
     out = None

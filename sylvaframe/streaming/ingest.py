@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import Config
 from ..operators.prepare import without_processed
 from ..plans.dataset import build_dataset
-from ..runtime import shared_dir
+from ..runtime import shared_dir, short_row_groups
 from ..schemas import PAIR
 
 
@@ -44,7 +44,7 @@ def write_batch(pairs: DataFrame, batch_id: int, out: str, config: Config) -> No
     if done is not None:
         fresh = without_processed(fresh, done, "pair_id")
     groups = build_dataset(fresh, config)
-    groups.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    short_row_groups(groups.write).mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
 
 def ingest(

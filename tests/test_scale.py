@@ -2,12 +2,19 @@
 
 import random
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from sylvaframe import runtime
+from sylvaframe.config import Config
 from sylvaframe.functions import text as T
 from sylvaframe.operators.prepare import clean_sentences
+from sylvaframe.plans.dataset import build_dataset
 from sylvaframe.plans.queries import QUERIES
+from sylvaframe.schemas import GROUP, PAIR
+from sylvaframe.sources.readers import read_group_documents
+from sylvaframe.sources.writers import document_of, write_groups, write_part_documents
+from sylvaframe.streaming.ingest import write_batch
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,3 +58,50 @@ def test_fast_expressions_give_what_the_plain_ones_do(spark):
 def test_clean_texts_have_no_white_space_but_the_space():
     one, more = T._ascii_images()
     assert {c for image in [*one.values(), *more.values()] for c in image if c.isspace()} == {" "}
+
+
+def groups_of(spark, n):
+    rows = [(str(i), f"The dog number {i} barked loudly. It ran home fast.", "", "x") for i in range(n)]
+    return build_dataset(spark.createDataFrame(rows, "pair_id string, text string, text_b string, label string"))
+
+
+def test_parts_are_written_as_bounded_documents(spark, tmp_path):
+    ordinal = F.col("group_id").cast("long")
+    groups = groups_of(spark, 90).withColumns({"ordinal": ordinal, "part": ordinal % 2, "document": document_of(ordinal, 90, 2, 9)})
+    write_part_documents(groups, str(tmp_path / "d"), "part", "document", "ordinal", compression="gzip")
+    rows, headers = read_group_documents(spark, str(tmp_path / "d"), GROUP)
+    assert 8 <= headers.count() <= 10 and {tuple(r) for r in headers.select("version", "format", "requires_word_embeddings").collect()} == {("1.0", "infonce", True)}
+    names = groups.drop("ordinal", "part", "document").columns
+    key = lambda r: r["group_id"]
+    assert sorted(rows.select(*names).collect(), key=key) == sorted(groups.select(*names).collect(), key=key)
+    found = rows.select("src_file", "ordinal", F.col("group_id").cast("int").alias("g")).orderBy("src_file", "ordinal").collect()
+    by_file = {r["src_file"]: [x["g"] for x in found if x["src_file"] == r["src_file"]] for r in found}
+    assert all(f"part={gs[0] % 2}/" in f and gs == sorted(gs) and len({g % 2 for g in gs}) == 1 for f, gs in by_file.items())
+
+
+def test_no_query_gathers_a_part_in_one_row(spark):
+    """A document of group_documents is bounded by its number of groups, whatever the corpus."""
+    docs = spark.range(64_000)
+    numbered = docs.select((F.col("id") % 16).alias("p"), document_of(F.col("id"), 64_000, 16).alias("d")).groupBy("p", "d").count()
+    assert numbered.agg(F.max("count")).first()[0] < 300
+
+
+def row_groups(folder):
+    files = [f for f in folder.rglob("*.parquet") if not f.name.startswith((".", "_"))]
+    return [pq.ParquetFile(f).metadata.row_group(k).num_rows for f in files for k in range(pq.ParquetFile(f).metadata.num_row_groups)]
+
+
+def test_graphs_are_written_in_short_row_groups(spark, tmp_path):
+    groups = groups_of(spark, 1200).coalesce(1)
+    write_groups(groups, str(tmp_path / "w"))
+    write_batch(spark.createDataFrame([(str(i), "The dog barked loudly.", "", "x") for i in range(1200)], PAIR).coalesce(1), 0, str(tmp_path / "s"), Config())
+    for folder in ("w", "s"):
+        assert sum(row_groups(tmp_path / folder)) == 1200 and max(row_groups(tmp_path / folder)) <= 250
+
+
+def test_sizes_are_read_without_the_graphs(spark, tmp_path):
+    write_groups(groups_of(spark, 3), str(tmp_path / "w"))
+    plan = spark.read.parquet(str(tmp_path / "w")).select(F.size("trees.n_graphs"))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<trees:array<struct<n_graphs:int>>>" in plan
+    out = QUERIES["streaming_ingest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "node_features" not in out.split("ReadSchema")[-1]
