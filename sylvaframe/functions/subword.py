@@ -9,13 +9,15 @@ distinct tokens that are neither known, nor a number, nor short reach Python.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import map_rows
 from ..sources.readers import number_lines, raw_lines
 from .text import is_number
 
@@ -90,35 +92,54 @@ def segment_words(words: DataFrame, vocabularies: list[set[str]], greedy_only: b
     return words.select("token").where(F.col("token").isNotNull()).distinct().mapInPandas(run, "token string, parts array<string>")
 
 
+#: Rows of token lists that a task has at once, and words whose split it keeps; both bound a worker's memory.
+ROWS_AT_ONCE, KNOWN_WORDS = 500, 100_000
+
+
+def replaced(column: pa.Array, parts_of: Callable[[str], list[str]]) -> pa.Array:
+    """``column`` (arrays of token arrays) with each token's parts in its place; a distinct token is looked up once."""
+    inner = column.flatten()
+    found = pc.dictionary_encode(inner.flatten())
+    pieces = [parts_of(t) for t in found.dictionary.to_pylist()]
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    codes = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    n = sizes[codes]
+    first = np.r_[0, np.cumsum(n)]
+    # place in the flat list of pieces: where a token's begin, and on from there
+    at = np.repeat((np.cumsum(sizes) - sizes)[codes] - first[:-1], n) + np.arange(first[-1])
+    words = pa.array([p for ps in pieces for p in ps], pa.string()).take(pa.array(at))
+    lengths = lambda a: pc.fill_null(pc.list_value_length(a), 0).to_numpy(zero_copy_only=False)
+    lists = pa.ListArray.from_arrays(pa.array(first[np.r_[0, np.cumsum(lengths(inner))]], pa.int32()), words)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths(column))], pa.int32()), lists, mask=column.is_null())
+
+
 def with_known_tokens(df: DataFrame, column: str, vocabularies: list[set[str]]) -> DataFrame:
     """``column`` (an array of token arrays) with unknown long tokens split; those that can't be split go.
 
-    A token is split once a task however often it occurs.
+    Tokens stay Arrow arrays; as Python objects there are the distinct ones of a few rows only.
     """
     shared = df.sparkSession.sparkContext.broadcast(vocabularies)
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(shared.value)
         known: dict[str, list[str]] = {}
 
         def parts(t: str) -> list[str]:
-            plain = t in segmenter.weight or len(t) < 5 or t.replace(".", "", 1).isdigit()
-            return [t] if plain else segmenter.segment(t)
-
-        def one(tokens: list[str]) -> list[str]:
-            out = []
-            for t in tokens:
-                found = known.get(t)
-                if found is None:
-                    if len(known) > 500_000:  # as a cache may be emptied
-                        known.clear()
-                    found = known[t] = parts(t)
-                out.extend(found)
-            return out
-
-        return lambda lists: None if lists is None else [one(tokens) for tokens in lists]
-
-    return map_rows(df, "_known", "array<array<string>>", make, column).withColumn(column, F.col("_known")).drop("_known")
+            found = known.get(t)
+            if found is None:
+                if len(known) > KNOWN_WORDS:  # as a cache may be emptied
+                    known.clear()
+                plain = t in segmenter.weight or len(t) < 5 or t.replace(".", "", 1).isdigit()
+                found = known[t] = [t] if plain else segmenter.segment(t)
+            return found
+
+        for batch in batches:
+            for at in range(0, len(batch), ROWS_AT_ONCE):
+                rows = batch.slice(at, ROWS_AT_ONCE)
+                yield pa.RecordBatch.from_arrays([replaced(c, parts) if k == place else c for k, c in enumerate(rows.columns)], names=rows.schema.names)
+
+    place = df.columns.index(column)
+    return df.mapInArrow(run, df.schema)
 
 
 def vocabulary_words(lines: DataFrame, vectors: bool = False, limit: int = VOCAB_LIMIT) -> DataFrame:
