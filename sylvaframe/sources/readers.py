@@ -10,12 +10,11 @@ from __future__ import annotations
 
 import ast
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from ..functions.text import SPACE, repair_answer, repair_question, strip
 from ..schemas import QA, SNLI
@@ -105,17 +104,25 @@ def read_question_folder(spark: SparkSession, path: str, max_lines: int | None =
     return rows.withColumn("pair_id", F.concat(F.element_at(F.split("src_file", "/"), -1), F.lit("/"), F.col("pair_id")))
 
 
-@F.pandas_udf(StringType())
-def literal_to_json(lines: pd.Series) -> pd.Series:
-    """A Python literal as JSON; null for what isn't one."""
+#: Lines that Python has as objects at once.
+LINES_AT_ONCE = 500
+
 
+def _literals(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     def one(line):
         try:
             return json.dumps(ast.literal_eval(line.strip()))
         except (ValueError, SyntaxError, AttributeError, TypeError, MemoryError, RecursionError):
             return None
 
-    return lines.map(one)
+    for lines in batches:
+        for at in range(0, len(lines), LINES_AT_ONCE):
+            yield pa.array([one(x) for x in lines.slice(at, LINES_AT_ONCE).to_pylist()], pa.string())
+
+
+def literal_to_json(lines: str) -> Column:
+    """A Python literal as JSON; null for what isn't one."""
+    return F.arrow_udf(_literals, "string")(F.col(lines))
 
 
 def qa_text(record: Column, question_types: list[str] | None = None) -> Column:
