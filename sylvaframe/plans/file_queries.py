@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import load_config
@@ -10,9 +10,9 @@ from ..functions.subword import VOCAB_LIMIT, vocabulary_words, word_weights
 from ..operators import sharding
 from ..operators.prepare import reshape, text_lines
 from ..operators.ranking import partition_of
-from ..runtime import scratch_path
+from ..runtime import even_parts, scratch_path
 from ..sources import readers as files
-from ..sources.writers import merge_documents, reshard, shard_documents, write_documents, write_groups, write_named, write_text_shards
+from ..sources.writers import merge_documents, reshard, shard_documents, write_documents, write_groups, write_lines, write_named, write_text_shards
 from ..streaming.ingest import resume_parts
 from .directory import process_directory
 from .registry import documents, query, table
@@ -30,6 +30,12 @@ def _snli(rows: DataFrame, path: str, name: str = "doc_id") -> None:
     rows.select(F.col("text").alias("sentence1"), F.lit("b").alias("sentence2"), F.col(name).cast("string").alias("pairID"), F.lit("x").alias("gold_label")).write.json(path)
 
 
+def _by_language(rows: DataFrame, value: Column, path: str) -> None:
+    """A file for each language, in the order of doc_id."""
+    file = F.concat(F.lit("lang="), F.coalesce("lang", F.lit("__HIVE_DEFAULT_PARTITION__")), F.lit("/part-00000.txt"))
+    write_lines(rows.select(file.alias("file"), F.col("doc_id").alias("order"), value.alias("value")), path, even_parts(rows))
+
+
 @query("source_semeval", "SELECT conv_id::VARCHAR || '-' || turn::VARCHAR AS pair_id, text, role AS text_b, 'x' AS label FROM conversations")
 def source_semeval(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "semeval")
@@ -52,9 +58,8 @@ def source_question_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 25 lines of each file, one for each language; the limit is the feature."""
     path = scratch_path(spark, "first-lines")
-    rows = table(spark, sf_dir, "documents").repartition("lang").sortWithinPartitions("lang", "doc_id")
     record = F.to_json(F.struct(F.col("text").alias("sentence1"), F.col("doc_id").cast("string").alias("pairID")))
-    rows.select("lang", record.alias("value")).write.partitionBy("lang").text(path)
+    _by_language(table(spark, sf_dir, "documents").select("lang", "doc_id", "text"), record, path)
     return files.read_snli(spark, f"{path}/*", max_lines=25).select("pair_id", "text", "ordinal")
 
 
@@ -71,8 +76,7 @@ def source_broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_lines_over_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines numbered on from file to file."""
     path = scratch_path(spark, "numbered")
-    rows = table(spark, sf_dir, "documents").repartition("lang").sortWithinPartitions("lang", "doc_id")
-    rows.select("lang", F.col("doc_id").cast("string").alias("value")).write.partitionBy("lang").text(path)
+    _by_language(table(spark, sf_dir, "documents").select("lang", "doc_id"), F.col("doc_id").cast("string"), path)
     return files.number_lines(files.raw_lines(spark, f"{path}/*"), "place", across_files=True).select(F.col("value").cast("long").alias("doc_id"), "place")
 
 
@@ -117,7 +121,7 @@ def nested_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files below a folder, by their parent folder's name; one folder is excluded."""
     path = scratch_path(spark, "nested")
     rows = table(spark, sf_dir, "documents").select("lang", F.col("doc_id").cast("string").alias("value"))
-    rows.repartition("lang").write.partitionBy("lang").text(path)
+    rows.write.partitionBy("lang").text(path)
     found = files.list_files(spark, path, "text", nested=True, exclude=["*lang=de*"])
     return found.select("category", F.lit(0).alias("file_number"), "part_number", F.endswith("name", F.lit(".txt")).alias("is_text")).distinct()
 
@@ -280,12 +284,12 @@ def directory_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder of files of which one can't be read, run twice: what was done is left alone, the error stays apart."""
     base = scratch_path(spark, "directory")
     record = F.to_json(F.struct(F.col("text").alias("sentence1"), F.col("doc_id").cast("string").alias("pairID"), F.lit("x").alias("gold_label")))
-    rows = documents(spark, sf_dir).select((F.col("doc_id") % 3).alias("f"), "doc_id", record.alias("r"))
-    whole = rows.groupBy("f").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "r"))), lambda x: x["r"]), "\n").alias("value"))
-    named = whole.select(F.concat(F.lit(f"{base}/in/f"), F.col("f").cast("string"), F.lit(".jsonl")).alias("path"), "value")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    file = F.concat(F.lit("f"), (F.col("doc_id") % 3).cast("string"), F.lit(".jsonl"))
+    write_lines(docs.select(file.alias("file"), F.col("doc_id").alias("order"), record.alias("value")), f"{base}/in", even_parts(docs))
     # a label that the map lacks is an error
     odd = spark.createDataFrame([(f"{base}/in/z.jsonl", '{"sentence1": "One two three four.", "pairID": "1", "gold_label": "y"}')], "path string, value string")
-    write_named(named.unionByName(odd)).count()
+    write_named(odd).count()
     config = load_config({"output": {"label_map": {"x": 1.0}}})
     for _ in range(2):
         report = process_directory(spark, "snli", f"{base}/in", f"{base}/out", config)

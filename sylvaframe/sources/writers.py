@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.sharding import shard_file_name
-from ..runtime import short_row_groups
+from ..runtime import scratch_path, short_row_groups
 from ..schemas import DOCUMENT_VERSION
 
 
@@ -105,6 +106,62 @@ def write_named(files: DataFrame) -> DataFrame:
     return files.select("path", "value").mapInPandas(run, "path string")
 
 
+def write_lines(lines: DataFrame, folder: str, parts: int) -> None:
+    """Text files of any size: ``lines`` has file (a path below ``folder``), order and value; a file's lines stand in their order.
+
+    Many tasks write pieces, cut by file and order; then one task a file joins
+    its pieces, whose bytes it only passes on, so no file is in memory as a whole.
+    """
+    spark = lines.sparkSession
+    pieces = scratch_path(spark, "pieces")
+    cut = lines.select(F.col("file").alias("_file"), "order", "value").repartitionByRange(parts, "_file", "order").sortWithinPartitions("_file", "order")
+    cut.select("_file", "value").write.partitionBy("_file").option("compression", "none").text(pieces)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pieces)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    rows = []
+    for d in system.listStatus(root):
+        name = d.getPath().getName()
+        if d.isDirectory() and name.startswith("_file="):
+            # pieces are named by their task's number, which grows with the order
+            found = sorted(_uri(f.getPath().toString()) for f in system.listStatus(d.getPath()))
+            rows.append((_uri(f"{folder.rstrip('/')}/{unquote(name[len('_file=') :])}"), found))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for files in batches:
+            for path, found in zip(files["path"], files["pieces"]):
+                _joined(path, list(found))
+            yield files[["path"]]
+
+    made = spark.createDataFrame(rows, "path string, pieces array<string>").repartition(max(1, len(rows)))
+    made.mapInPandas(run, "path string").count()
+    system.delete(root, True)
+
+
+def _uri(path: str) -> str:
+    """A Hadoop path, which escapes nothing, as a URI."""
+    whole = "file://" + path[len("file:") :] if path.startswith("file:/") and not path.startswith("file://") else path
+    return quote(whole, safe="/:@")
+
+
+def _joined(path: str, pieces: list[str]) -> None:
+    """The bytes of ``pieces``, one after the other, as a file, which gets its name once it is whole."""
+    import uuid
+
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(path)
+    folder, _, last = name.rpartition("/")
+    system.create_dir(folder, recursive=True)
+    part = f"{folder}/.{last}.{uuid.uuid4().hex}"
+    with system.open_output_stream(part) as out:
+        for piece in pieces:
+            source, at = fs.FileSystem.from_uri(piece)
+            with source.open_input_stream(at) as given:
+                while chunk := given.read(1 << 22):
+                    out.write(chunk)
+    system.move(part, name)
+
+
 def _sizes(name: str) -> Column:
     return F.transform("g", lambda g: F.size(g[name]))
 

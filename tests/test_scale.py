@@ -2,18 +2,22 @@
 
 import random
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from sylvaframe import runtime
 from sylvaframe.config import Config
+from sylvaframe.functions import subword
 from sylvaframe.functions import text as T
+from sylvaframe.operators import embed
 from sylvaframe.operators.prepare import clean_sentences
 from sylvaframe.plans.dataset import build_dataset
 from sylvaframe.plans.queries import QUERIES
 from sylvaframe.schemas import GROUP, PAIR
+from sylvaframe.sources import readers
 from sylvaframe.sources.readers import read_group_documents
-from sylvaframe.sources.writers import document_of, write_groups, write_part_documents
+from sylvaframe.sources.writers import document_of, write_groups, write_lines, write_part_documents
 from sylvaframe.streaming.ingest import write_batch
 
 SF = "/root/testdata/sf0.001"
@@ -105,3 +109,44 @@ def test_sizes_are_read_without_the_graphs(spark, tmp_path):
     assert "ReadSchema: struct<trees:array<struct<n_graphs:int>>>" in plan
     out = QUERIES["streaming_ingest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "node_features" not in out.split("ReadSchema")[-1]
+
+
+def test_words_are_made_from_the_texts_once(spark, monkeypatch):
+    """embedding_fill goes through the texts for one table of words, not for each of two fills and a lookup."""
+    seen = []
+    monkeypatch.setattr("sylvaframe.operators.embed.misses", lambda words, cache, word="word", real=embed.misses: seen.append(optimized(words)) or real(words, cache, word))
+    QUERIES["embedding_fill"](spark, SF).collect()
+    assert len(seen) == 2 and not any("regexp_extract_all" in plan for plan in seen)
+
+
+def test_split_tokens_take_the_place_of_their_token():
+    kind = pa.list_(pa.list_(pa.string()))
+    column = pa.array([[["a", "bcd"], []], None, [], [["zz", "bcd", "a"]], [None, ["a"]]], kind)
+    asked = []
+    parts = lambda t: asked.append(t) or {"a": ["a"], "bcd": ["b", "cd"], "zz": []}[t]
+    assert subword.replaced(column, parts).to_pylist() == [[["a", "b", "cd"], []], None, [], [["b", "cd", "a"]], [[], ["a"]]]
+    assert sorted(asked) == ["a", "bcd", "zz"]
+    assert subword.replaced(column.slice(1, 3), parts).to_pylist() == [None, [], [["b", "cd", "a"]]] and len(subword.replaced(column.slice(0, 0), parts)) == 0
+
+
+def test_literals_are_few_objects_at_once():
+    made = list(readers._literals(iter([pa.array(["{'a': 1}", "no", None] * 1000)])))
+    assert max(map(len, made)) <= 500 and sum(map(len, made)) == 3000
+    assert made[0].to_pylist()[:3] == ['{"a": 1}', None, None]
+
+
+def test_files_of_any_size_are_joined_from_ordered_pieces(spark, tmp_path):
+    lines = spark.range(1000).select(F.concat(F.lit("k=a b/f"), (F.col("id") % 2).cast("string"), F.lit(".txt")).alias("file"), (-F.col("id")).alias("order"), F.col("id").cast("string").alias("value"))
+    write_lines(lines.repartition(5), f"file://{tmp_path}/out", 7)
+    for k in (0, 1):
+        assert (tmp_path / "out" / "k=a b" / f"f{k}.txt").read_text() == "".join(f"{i}\n" for i in range(998 + k, -1, -2))
+    assert len(list((tmp_path / "out").rglob("*"))) == 3
+
+
+def test_no_task_takes_a_whole_file(spark):
+    """source_first_lines and directory_runs brought a language's or a folder's texts to one task; the files' pieces are cut by order."""
+    import inspect
+
+    for name in ("source_first_lines", "source_lines_over_files", "directory_runs", "nested_files"):
+        code = inspect.getsource(QUERIES[name])
+        assert 'repartition("lang")' not in code and "collect_list" not in code, name
