@@ -69,14 +69,21 @@ def merge_documents(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _by_shard(sharded: DataFrame) -> DataFrame:
+    """Each shard in one task, in ``ordinal`` order. The number of tasks is given, as making files takes far longer than their bytes tell adaptive execution."""
+    spark = sharded.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return sharded.repartition(parts, "split", "shard_index").sortWithinPartitions("split", "shard_index", "ordinal")
+
+
 def write_shards(sharded: DataFrame, path: str, fmt: str = "json", mode: str = "error") -> None:
     """Folders split=/shard_index= below ``path``; every shard's rows are brought to one task, in ``ordinal`` order."""
-    rows = sharded.repartition("split", "shard_index").sortWithinPartitions("split", "shard_index", "ordinal")
+    rows = _by_shard(sharded)
     rows.write.mode(mode).partitionBy("split", "shard_index").format(fmt).save(path)
 
 
 def write_text_shards(sharded: DataFrame, path: str, mode: str = "error") -> None:
-    rows = sharded.repartition("split", "shard_index").sortWithinPartitions("split", "shard_index", "ordinal")
+    rows = _by_shard(sharded)
     rows.select("split", "shard_index", "value").write.mode(mode).partitionBy("split", "shard_index").text(path)
 
 

@@ -17,7 +17,7 @@ from sylvaframe.plans.queries import QUERIES
 from sylvaframe.schemas import GROUP, PAIR
 from sylvaframe.sources import readers
 from sylvaframe.sources.readers import read_group_documents
-from sylvaframe.sources.writers import document_of, write_groups, write_lines, write_part_documents
+from sylvaframe.sources.writers import document_of, write_groups, write_lines, write_part_documents, write_shards, write_text_shards
 from sylvaframe.streaming.ingest import write_batch
 
 SF = "/root/testdata/sf0.001"
@@ -150,3 +150,11 @@ def test_no_task_takes_a_whole_file(spark):
     for name in ("source_first_lines", "source_lines_over_files", "directory_runs", "nested_files"):
         code = inspect.getsource(QUERIES[name])
         assert 'repartition("lang")' not in code and "collect_list" not in code, name
+
+
+def test_small_shards_are_written_by_many_tasks(spark, tmp_path):
+    sharded = spark.range(200).select(F.lit("train").alias("split"), (F.col("id") % 50).alias("shard_index"), F.col("id").alias("ordinal"), F.col("id").cast("string").alias("value"))
+    for write, name in ((write_text_shards, "t"), (write_shards, "j")):
+        write(sharded, str(tmp_path / name))
+        files = [f.name for f in (tmp_path / name).rglob("part-*")]
+        assert len(files) == 50 and len({f[:10] for f in files}) >= 4
